@@ -144,15 +144,8 @@ def q_assemble_features(spark, sf):
 
 def _single_feature_models(spark, sf):
     train, test = model_inputs(_cleaned_keyed(spark, sf))
-    train = train.select(*LABELS, *DAY_LAGS).persist()
-    models = {}
-    try:
-        for label, x in zip(LABELS, DAY_LAGS):
-            models.update(fit_hours(train, "ridge", [label], features=[x], parallelism=1,
-                                    stage=None))
-    finally:
-        train.unpersist()
-    return models, test
+    feats = {label: [x] for label, x in zip(LABELS, DAY_LAGS)}
+    return fit_hours(train, "ridge", LABELS, features=feats, parallelism=PARALLEL_FITS), test
 
 
 def q_ridge_single_feature(spark, sf):

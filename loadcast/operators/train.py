@@ -50,18 +50,34 @@ def estimator(family: str, label: str, features_col: str = FEATURES_COL, **param
     return cls(featuresCol=features_col, labelCol=label, **{**defaults, **params})
 
 
+def _inputs(features, labels) -> list[str]:
+    if isinstance(features, dict):
+        seen = []
+        for lab in labels:
+            seen += [f for f in features[lab] if f not in seen]
+        return seen
+    return list(features)
+
+
 def training_table(train: DataFrame, labels=LABELS, features=FEATURES,
-                   stage: str = "cache") -> DataFrame:
-    """Assembled features plus the labels, staged once for all fits.
+                   stage: str | None = "cache") -> DataFrame:
+    """The inputs and the labels, staged once for all fits.
 
+    With one shared feature list the vector is assembled before staging.
     ``stage="cache"`` persists in memory and on disk (lost blocks are
     recomputed from lineage); ``"checkpoint"`` writes the table to the shared
     checkpoint folder and cuts the lineage; ``None`` re-reads the input on
     every pass.
     """
-    table = assemble(train.select(*features, *labels), features).select(FEATURES_COL, *labels)
+    table = train.select(*_inputs(features, labels), *labels)
+    if not isinstance(features, dict):
+        table = assemble(table, features).select(FEATURES_COL, *labels)
     if stage == "cache":
-        return table.persist(StorageLevel.MEMORY_AND_DISK)
+        table = table.persist(StorageLevel.MEMORY_AND_DISK)
+        # Fill the cache in one job before concurrent fits read it; otherwise
+        # every fit thread would compute the whole lineage at once.
+        table.count()
+        return table
     if stage == "checkpoint":
         from .joins import materialize
         return materialize(table)
@@ -69,12 +85,20 @@ def training_table(train: DataFrame, labels=LABELS, features=FEATURES,
 
 
 def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=FEATURES,
-              parallelism: int = 4, stage: str = "cache", **params) -> dict:
-    """Fit one ``family`` model per label; returns {label: model} in label order."""
+              parallelism: int = 4, stage: str | None = "cache", **params) -> dict:
+    """Fit one ``family`` model per label; returns {label: model} in label order.
+
+    ``features`` is one list for all labels, or a mapping label → list (each
+    label is then fitted on its own inputs).
+    """
+    labels = list(labels)
     table = training_table(train, labels, features, stage)
     try:
         def fit(label):
-            return label, estimator(family, label, **params).fit(table)
+            data = table
+            if isinstance(features, dict):
+                data = assemble(table.select(*features[label], label), features[label])
+            return label, estimator(family, label, **params).fit(data)
 
         workers = max(1, min(parallelism, len(labels)))
         if workers == 1:
@@ -107,6 +131,14 @@ def save_models(models: dict, root: str, family: str, overwrite: bool = True) ->
     return paths
 
 
-def load_models(root: str, family: str, labels=LABELS) -> dict:
+def load_models(root: str, family: str, labels=LABELS, parallelism: int = 8) -> dict:
+    """Load the saved model of every label (independent reads, run in a pool)."""
     model_cls = FAMILIES[family][1]
-    return {label: model_cls.load(model_path(root, family, label)) for label in labels}
+    labels = list(labels)
+
+    def load(label):
+        return model_cls.load(model_path(root, family, label))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(labels)))) as pool:
+        models = list(pool.map(inheritable_thread_target(load), labels))
+    return dict(zip(labels, models))
