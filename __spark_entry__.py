@@ -47,9 +47,15 @@ from loadcast.schema import (  # noqa: E402
     RESULT_CONTEXT,
 )
 from loadcast.session import work_dir  # noqa: E402
-from loadcast.sources.files import append_table, read_raw_csv, write_table  # noqa: E402
+from loadcast.sources.files import (  # noqa: E402
+    append_table,
+    ingest,
+    read_raw_csv,
+    write_table,
+)
 from loadcast.sources.inspect import preview, schema_report  # noqa: E402
 from loadcast.sources.meter_day import meter_day  # noqa: E402
+from loadcast.streaming.incremental import ingest_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 ROUND = 6
@@ -86,6 +92,22 @@ def q_csv_roundtrip(spark, sf):
     return read_raw_csv(spark, path)
 
 
+def q_ingest(spark, sf):
+    # Raw upload (CSV) landed as Parquet with the declared schema.
+    upload = work_dir(spark, "upload")
+    write_table(_md(spark, sf), upload, "csv")
+    return ingest(spark, upload, work_dir(spark, "landed"))
+
+
+def q_stream_ingest(spark, sf):
+    # The same landing as an available-now stream with a checkpoint.
+    upload = work_dir(spark, "stream-upload")
+    write_table(_md(spark, sf), upload, "csv")
+    landed = work_dir(spark, "stream-landed")
+    ingest_stream(spark, upload, landed).awaitTermination()
+    return spark.read.schema(RAW_SCHEMA).parquet(landed)
+
+
 def q_schema_report(spark, sf):
     return schema_report(_md(spark, sf)).select("ordinal", "column_name", "data_type")
 
@@ -244,6 +266,8 @@ def q_page_count(spark, sf):
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "meter_day": q_meter_day,
     "csv_roundtrip": q_csv_roundtrip,
+    "ingest": q_ingest,
+    "stream_ingest": q_stream_ingest,
     "schema_report": q_schema_report,
     "preview": q_preview,
     "drop_columns": q_drop_columns,

@@ -1,7 +1,7 @@
 """Cleaning: drop columns, profile missing values, fill gaps with the area
 mean, recode and cast the trade code, keep complete rows.
 
-Plan at scale (see ``plans.pipeline.clean_plan``):
+Plan at scale (``clean``; the flow is ``plans.pipeline.clean_table``):
 
 1. the area means are one hash aggregate over the key and the 48 load
    columns only (column pruning reaches the scan), with partial sums per task
@@ -103,8 +103,21 @@ def recode_trade(df: DataFrame, column: str = "TRADE_NO") -> DataFrame:
 
 
 def complete_rows(df: DataFrame) -> DataFrame:
-    """Keep rows with no null (and no NaN) in any column."""
-    return df.dropna(how="any")
+    """Keep rows with no null (and no NaN) in any column — ``dropna(how="any")``
+    written as a conjunction of ``IS NOT NULL`` (and ``NOT isnan`` for float
+    columns), so that the null checks reach the Parquet scan as pushed filters."""
+    conds = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        conds.append(c.isNotNull())
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            conds.append(~F.isnan(c))
+    if not conds:
+        return df
+    cond = conds[0]
+    for x in conds[1:]:
+        cond = cond & x
+    return df.where(cond)
 
 
 def clean(raw: DataFrame, carry=()) -> DataFrame:

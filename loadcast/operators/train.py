@@ -60,28 +60,50 @@ def _inputs(features, labels) -> list[str]:
 
 
 def training_table(train: DataFrame, labels=LABELS, features=FEATURES,
-                   stage: str | None = "cache") -> DataFrame:
+                   stage: str | None = "cache") -> tuple[DataFrame, DataFrame | None]:
     """The inputs and the labels, staged once for all fits.
 
     With one shared feature list the vector is assembled before staging.
     ``stage="cache"`` persists in memory and on disk (lost blocks are
     recomputed from lineage); ``"checkpoint"`` writes the table to the shared
     checkpoint folder and cuts the lineage; ``None`` re-reads the input on
-    every pass.
+    every pass. Returns (table to fit on, persisted frame to release or None).
     """
+    width = len(labels) + len(_inputs(features, labels))
     table = train.select(*_inputs(features, labels), *labels)
     if not isinstance(features, dict):
         table = assemble(table, features).select(FEATURES_COL, *labels)
     if stage == "cache":
-        table = table.persist(StorageLevel.MEMORY_AND_DISK)
+        cached = table.persist(StorageLevel.MEMORY_AND_DISK)
         # Fill the cache in one job before concurrent fits read it; otherwise
         # every fit thread would compute the whole lineage at once.
-        table.count()
-        return table
+        return _sized(cached, cached.count(), width), cached
     if stage == "checkpoint":
         from .joins import materialize
-        return materialize(table)
-    return table
+        table = materialize(table)
+        return _sized(table, table.count(), width), None
+    return table, None
+
+
+def _sized(table: DataFrame, rows: int, width: int) -> DataFrame:
+    """Merge small partitions of the staged table (no shuffle) so that each
+    holds about the advisory partition size (64 MB by default). Every fit runs
+    many passes; tiny partitions make each pass pay task overhead many times.
+    The partition count only shrinks, never grows."""
+    spark = table.sparkSession
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    target_bytes = _bytes(target)
+    wanted = max(1, -(-rows * (8 * width + 32) // target_bytes))
+    current = table.rdd.getNumPartitions()
+    return table.coalesce(wanted) if wanted < current else table
+
+
+def _bytes(text: str) -> int:
+    text = str(text).strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if text and text[-1] in units:
+        return int(float(text[:-1]) * units[text[-1]])
+    return int(text)
 
 
 def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=FEATURES,
@@ -92,7 +114,7 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
     label is then fitted on its own inputs).
     """
     labels = list(labels)
-    table = training_table(train, labels, features, stage)
+    table, cached = training_table(train, labels, features, stage)
     try:
         def fit(label):
             data = table
@@ -108,8 +130,8 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
                 fitted = dict(pool.map(inheritable_thread_target(fit), labels))
         return {label: fitted[label] for label in labels}
     finally:
-        if stage == "cache":
-            table.unpersist()
+        if cached is not None:
+            cached.unpersist()
 
 
 def model_path(root: str, family: str, label: str) -> str:

@@ -10,6 +10,7 @@ with I/O only at the ends.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -18,7 +19,7 @@ from ..operators.clean import clean, complete_rows
 from ..operators.score import error_sums, hour_of, predict_hours, wide_result
 from ..operators.split import hash_split
 from ..operators.train import fit_hours, load_models, save_models
-from ..schema import LABELS, RESULT_CONTEXT
+from ..schema import KEY, LABELS, RESULT_CONTEXT
 from ..sources.files import write_table
 
 ID_CARRY = ("STAT_CYCLE",)
@@ -48,11 +49,13 @@ class PredictReport:
     family: str
     rows: int
     rmse: dict
+    seconds: float = 0.0
 
 
 def scored_test_rows(cleaned: DataFrame, models: dict, digits: int | None = 4) -> DataFrame:
     _, test = model_inputs(cleaned)
-    return predict_hours(test, models, digits)
+    keep = [c for c in dict.fromkeys(KEY + RESULT_CONTEXT) if c in test.columns]
+    return predict_hours(test, models, digits, keep=keep)
 
 
 def predict(cleaned: DataFrame, models: dict | None = None, family: str = "ridge",
@@ -61,6 +64,7 @@ def predict(cleaned: DataFrame, models: dict | None = None, family: str = "ridge
     """Score the test rows and write the wide result once. RMSE per hour comes
     from an ``Observation`` computed in the write job itself (exactly once per
     successful task: the observed aggregate runs in the result stage)."""
+    start = time.perf_counter()
     labels = list(models) if models else list(LABELS)
     if models is None:
         models = load_models(model_root, family, labels)
@@ -75,4 +79,5 @@ def predict(cleaned: DataFrame, models: dict | None = None, family: str = "ridge
     metrics = obs.get
     n = metrics["rows"]
     rmse = {label: ((metrics[f"sse_{label}"] or 0.0) / n) ** 0.5 if n else None for label in labels}
-    return PredictReport(family, n, dict(sorted(rmse.items(), key=lambda kv: hour_of(kv[0]))))
+    ordered = dict(sorted(rmse.items(), key=lambda kv: hour_of(kv[0])))
+    return PredictReport(family, n, ordered, round(time.perf_counter() - start, 3))

@@ -185,6 +185,8 @@ def oracle_queries() -> dict[str, str]:
 
     q["meter_day"] = md + f"SELECT {raw_cols} FROM meter_day"
     q["csv_roundtrip"] = q["meter_day"]
+    q["ingest"] = q["meter_day"]
+    q["stream_ingest"] = q["meter_day"]
 
     q["schema_report"] = (
         "SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS ordinal, column_name, "
