@@ -29,15 +29,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+def bounded_broadcast(small: DataFrame, max_rows: int | None = None,
+                      max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Materialize ``small``, count it, and mark it for broadcast only when the
     count and its estimated size are under the bounds.
 
     Returns (frame, broadcast?). Above the bounds the frame is returned
-    unmarked and the join shuffles; AQE's skew-join handling then splits a hot
-    key on the large side (one row per key on the small side makes that safe).
+    unmarked: the join shuffles unless Spark's own size-checked broadcast
+    threshold applies, and AQE's skew-join handling splits a hot key on the
+    large side (one row per key on the small side makes that safe).
     """
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     frozen = materialize(small)
     rows = frozen.count()
     fits = rows <= max_rows and rows * _row_bytes(frozen) <= max_bytes
