@@ -196,10 +196,10 @@ def q_rmse_by_hour(spark, sf):
         "label", "hour", F.round("rmse", ROUND).alias("rmse"))
 
 
-def _family_scored(spark, sf, family, digits=4):
+def _family_scored(spark, sf, family, digits=4, solver="mllib"):
     cleaned = _cleaned_keyed(spark, sf)
     train, test = model_inputs(cleaned)
-    models = fit_hours(train, family, LABELS, parallelism=PARALLEL_FITS)
+    models = fit_hours(train, family, LABELS, parallelism=PARALLEL_FITS, solver=solver)
     return predict_hours(test, models, digits, keep=list(("STAT_CYCLE",) + RESULT_CONTEXT))
 
 
@@ -216,6 +216,12 @@ def q_ridge_cli_score(spark, sf):
     return wide_result(_family_scored(spark, sf, "ridge", None), LABELS, RESULT_CONTEXT[1:])
 
 
+def q_ridge_moments_train_score(spark, sf):
+    # All 24 ridge labels from one set of moments (Correlation + Summarizer).
+    return wide_result(_family_scored(spark, sf, "ridge", solver="moments"), LABELS,
+                       RESULT_CONTEXT)
+
+
 def q_forest_train_score(spark, sf):
     return wide_result(_family_scored(spark, sf, "forest"), LABELS, RESULT_CONTEXT)
 
@@ -287,6 +293,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ridge_train_score": q_ridge_train_score,
     "ridge_rmse_report": q_ridge_rmse_report,
     "ridge_cli_score": q_ridge_cli_score,
+    "ridge_moments_train_score": q_ridge_moments_train_score,
     "forest_train_score": q_forest_train_score,
     "gbt_train_score": q_gbt_train_score,
     "model_save_load": q_model_save_load,

@@ -8,7 +8,8 @@ Timed steps:
   <f>_train      read cleaned → complete rows → train split → 24 fits → save
   <f>_predict    read cleaned → test split → load 24 models → wide result
                  written once, RMSE per hour observed in the same job
-for f in ridge, forest, gbt. ``value`` is the sum of all steps.
+for f in ridge (MLlib, one fit per label), ridge_moments (all 24 labels from
+one set of moments), forest, gbt. ``value`` is the sum of all steps.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from loadcast.sources.meter_day import meter_day  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    families = os.environ.get("BENCH_FAMILIES", "ridge,forest,gbt").split(",")
+    families = os.environ.get("BENCH_FAMILIES", "ridge,ridge_moments,forest,gbt").split(",")
     spark = local_session(cpus)
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get(
             "spark.checkpoint.dir", None):
@@ -55,15 +56,18 @@ def main() -> None:
     step("clean", lambda: write_table(clean_table(raw), clean_path))
     cleaned = spark.read.parquet(clean_path)
     parallel = int(os.environ.get("BENCH_PARALLEL_FITS", "8"))
-    for fam in families:
-        def train(fam=fam):
-            models = train_models(cleaned, fam, LABELS, parallelism=parallel)
-            save_models(models, f"{root}/models", fam)
+    for name in families:
+        fam, solver = ("ridge", "moments") if name == "ridge_moments" else (name, "mllib")
+
+        def train(fam=fam, solver=solver, name=name):
+            models = train_models(cleaned, fam, LABELS, parallelism=parallel, solver=solver)
+            save_models(models, f"{root}/models_{name}", fam)
             return models
-        models = step(f"{fam}_train", train)
-        report = step(f"{fam}_predict", lambda fam=fam, models=models: predict(
-            cleaned, model_root=f"{root}/models", family=fam,
-            out_path=f"{root}/{fam}_result", models=None))
+        models = step(f"{name}_train", train)
+        report = step(f"{name}_predict", lambda fam=fam, solver=solver, name=name: predict(
+            cleaned, model_root=f"{root}/models_{name}", family=fam, solver=solver,
+            out_path=f"{root}/{name}_result", models=None))
+        fam = name
         info[f"{fam}_test_rows"] = report.rows
         info[f"{fam}_mean_rmse"] = round(sum(report.rmse.values()) / len(report.rmse), 4)
         info[f"{fam}_s_per_label_train"] = round(times[f"{fam}_train"] / len(LABELS), 3)

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import maybe_round, relative_error_expr, rmse_expr, squared_error_expr
 from ..schema import FEATURES, RESULT_CONTEXT, prediction_col, relative_error_col
-from .features import FEATURES_COL, assemble
+from .features import assemble
+from .ridge import LinearFit
 
 RAW_PREFIX = "__raw_prediction_"
 
@@ -54,10 +55,16 @@ def predict_hours(df: DataFrame, models: dict, digits: int | None = 4, features=
     keep = list(df.columns if keep is None else keep)
     labels = list(models)
     per_label = isinstance(features, dict)
-    feats_of = (lambda lab: features[lab]) if per_label else (lambda lab: features)
+
+    def feats_of(lab):
+        m = models[lab]
+        if isinstance(m, LinearFit):
+            return m.features
+        return features[lab] if per_label else features
 
     def inline(m):
-        return (inline_linear or per_label) and isinstance(m, LinearRegressionModel)
+        return isinstance(m, LinearFit) or (
+            (inline_linear or per_label) and isinstance(m, LinearRegressionModel))
 
     if per_label and not all(inline(m) for m in models.values()):
         raise ValueError("per-label features are supported for ridge models only")

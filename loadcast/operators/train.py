@@ -33,6 +33,7 @@ from ..schema import (
     RIDGE_REG_PARAM,
 )
 from .features import FEATURES_COL, assemble
+from .ridge import LinearFit, fit_ridge_moments, load_fits, save_fits
 
 # Family → (estimator class, model class, default parameters, folder stem).
 FAMILIES = {
@@ -107,13 +108,24 @@ def _bytes(text: str) -> int:
 
 
 def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=FEATURES,
-              parallelism: int = 4, stage: str | None = "cache", **params) -> dict:
+              parallelism: int = 4, stage: str | None = "cache", solver: str = "mllib",
+              **params) -> dict:
     """Fit one ``family`` model per label; returns {label: model} in label order.
 
     ``features`` is one list for all labels, or a mapping label → list (each
     label is then fitted on its own inputs).
+
+    ``solver="moments"`` (ridge, shared features only) computes all labels from
+    one set of moments (``ridge.fit_ridge_moments``): a fixed number of passes
+    instead of one per label; the fits are ``LinearFit`` objects, applied as
+    expressions by the scorer. The default fits MLlib ``LinearRegression``.
     """
     labels = list(labels)
+    if solver == "moments":
+        if family != "ridge" or isinstance(features, dict):
+            raise ValueError("the moments solver fits ridge models on shared features")
+        return fit_ridge_moments(train, labels, features,
+                                 reg=params.get("regParam", RIDGE_REG_PARAM))
     table, cached = training_table(train, labels, features, stage)
     try:
         def fit(label):
@@ -139,9 +151,20 @@ def model_path(root: str, family: str, label: str) -> str:
     return f"{root.rstrip('/')}/{stem}Model/{stem}Model_{label}.model"
 
 
+def moments_path(root: str) -> str:
+    return f"{root.rstrip('/')}/LineModel/LineModel_moments.parquet"
+
+
 def save_models(models: dict, root: str, family: str, overwrite: bool = True) -> list[str]:
     """Save every model under ``<root>/<Stem>Model/<Stem>Model_<label>.model``.
-    With ``overwrite=False`` an existing model makes the save fail."""
+    With ``overwrite=False`` an existing model makes the save fail. Ridge fits
+    of the moments solver are saved together as one small table."""
+    fits = {k: m for k, m in models.items() if isinstance(m, LinearFit)}
+    if fits:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
+        save_fits(fits, spark, moments_path(root), overwrite)
+        return [moments_path(root)]
     paths = []
     for label, model in models.items():
         path = model_path(root, family, label)
@@ -153,10 +176,15 @@ def save_models(models: dict, root: str, family: str, overwrite: bool = True) ->
     return paths
 
 
-def load_models(root: str, family: str, labels=LABELS, parallelism: int = 8) -> dict:
+def load_models(root: str, family: str, labels=LABELS, parallelism: int = 8,
+                solver: str = "mllib") -> dict:
     """Load the saved model of every label (independent reads, run in a pool)."""
     model_cls = FAMILIES[family][1]
     labels = list(labels)
+    if solver == "moments":
+        from pyspark.sql import SparkSession
+        fits = load_fits(SparkSession.getActiveSession(), moments_path(root))
+        return {label: fits[label] for label in labels}
 
     def load(label):
         return model_cls.load(model_path(root, family, label))

@@ -60,14 +60,15 @@ def scored_test_rows(cleaned: DataFrame, models: dict, digits: int | None = 4) -
 
 def predict(cleaned: DataFrame, models: dict | None = None, family: str = "ridge",
             model_root: str | None = None, out_path: str | None = None,
-            digits: int | None = 4, id_cols=RESULT_CONTEXT, fmt: str = "parquet") -> PredictReport:
+            digits: int | None = 4, id_cols=RESULT_CONTEXT, fmt: str = "parquet",
+            solver: str = "mllib") -> PredictReport:
     """Score the test rows and write the wide result once. RMSE per hour comes
     from an ``Observation`` computed in the write job itself (exactly once per
     successful task: the observed aggregate runs in the result stage)."""
     start = time.perf_counter()
     labels = list(models) if models else list(LABELS)
     if models is None:
-        models = load_models(model_root, family, labels)
+        models = load_models(model_root, family, labels, solver=solver)
     scored = scored_test_rows(cleaned, models, digits)
     obs = Observation(f"rmse_{family}")
     observed = scored.observe(obs, *error_sums(labels))

@@ -125,3 +125,27 @@ def test_predict_flow_rmse_equals_report(cleaned01, tmp_root):
     assert written.count() == rep.rows
     cli = wide_result(predict_hours(test, models_, None), labels, RESULT_CONTEXT[1:])
     assert "MP_ID" not in cli.columns and len(cli.columns) == 9 + 48
+
+
+def test_moments_solver_matches_mllib(splits, tmp_root):
+    train, test = splits
+    labels = list(LABELS)
+    ml = fit_hours(train, "ridge", labels, parallelism=8)
+    mo = fit_hours(train, "ridge", labels, solver="moments")
+    pdf = train.select(*FEATURES, *labels).toPandas()
+    X = pdf[list(FEATURES)].to_numpy(dtype=float)
+    for label in labels:
+        w, b = ridge_closed_form(X, pdf[label].to_numpy(dtype=float), 0.15)
+        assert np.allclose(mo[label].coefficients.toArray(), w, rtol=1e-6, atol=1e-9)
+        assert mo[label].intercept == pytest.approx(b, rel=1e-8)
+    a = predict_hours(test, ml, None, keep=["MP_ID", "STAT_CYCLE"])
+    b = predict_hours(test, mo, None, keep=["MP_ID", "STAT_CYCLE"])
+    j = a.alias("a").join(b.alias("b"), ["MP_ID", "STAT_CYCLE"])
+    worst = j.agg(*[F.max(F.abs(F.col(f"a.TLOAD{h}") - F.col(f"b.TLOAD{h}")))
+                    for h in range(24)]).first()
+    assert max(worst) < 1e-6
+    save_models(mo, f"{tmp_root}/moments", "ridge")
+    back = load_models(f"{tmp_root}/moments", "ridge", labels, solver="moments")
+    assert list(back) == labels
+    assert np.array_equal(back["LOAD5"].coefficients.toArray(),
+                          mo["LOAD5"].coefficients.toArray())
