@@ -59,7 +59,7 @@ from loadcast.streaming.incremental import ingest_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 ROUND = 6
-PARALLEL_FITS = 8
+PARALLEL_FITS = "auto"
 
 
 def _rounded(df: DataFrame, cols=IMPUTED, digits: int = ROUND) -> DataFrame:

@@ -35,6 +35,9 @@ from ..schema import (
 from .features import FEATURES_COL, assemble
 from .ridge import LinearFit, fit_ridge_moments, load_fits, save_fits
 
+# Concurrent fits when the training table spans many partitions.
+SCALE_PARALLELISM = 4
+
 # Family → (estimator class, model class, default parameters, folder stem).
 FAMILIES = {
     "ridge": (LinearRegression, LinearRegressionModel,
@@ -108,8 +111,8 @@ def _bytes(text: str) -> int:
 
 
 def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=FEATURES,
-              parallelism: int = 4, stage: str | None = "cache", solver: str = "mllib",
-              **params) -> dict:
+              parallelism: int | str = "auto", stage: str | None = "cache",
+              solver: str = "mllib", **params) -> dict:
     """Fit one ``family`` model per label; returns {label: model} in label order.
 
     ``features`` is one list for all labels, or a mapping label → list (each
@@ -119,6 +122,12 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
     one set of moments (``ridge.fit_ridge_moments``): a fixed number of passes
     instead of one per label; the fits are ``LinearFit`` objects, applied as
     expressions by the scorer. The default fits MLlib ``LinearRegression``.
+
+    ``parallelism="auto"``: a staged table of one partition means every fit
+    is bound by per-job overhead, so up to twice the default parallelism fits
+    run at once; a larger table means every fit already spans the cluster and
+    each tree fit caches its own binned copy of the rows, so at most
+    ``SCALE_PARALLELISM`` fits run at once.
     """
     labels = list(labels)
     if solver == "moments":
@@ -134,7 +143,11 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
                 data = assemble(table.select(*features[label], label), features[label])
             return label, estimator(family, label, **params).fit(data)
 
-        workers = max(1, min(parallelism, len(labels)))
+        if parallelism == "auto":
+            small = table.rdd.getNumPartitions() == 1
+            sc = table.sparkSession.sparkContext
+            parallelism = 2 * sc.defaultParallelism if small else SCALE_PARALLELISM
+        workers = max(1, min(int(parallelism), len(labels)))
         if workers == 1:
             fitted = dict(map(fit, labels))
         else:

@@ -35,7 +35,7 @@ def model_inputs(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def train_models(cleaned: DataFrame, family: str = "ridge", labels=LABELS,
-                 model_root: str | None = None, parallelism: int = 4,
+                 model_root: str | None = None, parallelism: int | str = "auto",
                  stage: str = "cache", **params) -> dict:
     train, _ = model_inputs(cleaned)
     models = fit_hours(train, family, labels, parallelism=parallelism, stage=stage, **params)
