@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..schema import KEY
 
@@ -26,13 +25,3 @@ def preview(df: DataFrame, n: int = 20, columns=None, order_by=KEY) -> DataFrame
     out = df.orderBy(*keys) if keys else df
     out = out.limit(n)
     return out.select(*columns) if columns else out
-
-
-def dtypes_report(df: DataFrame) -> list[tuple[str, str]]:
-    return df.dtypes
-
-
-def null_counts(df: DataFrame) -> DataFrame:
-    """Non-null count per column in one global aggregate (one row)."""
-    return df.agg(F.count(F.lit(1)).alias("_rows"),
-                  *[F.count(c).alias(c) for c in df.columns])
