@@ -13,14 +13,14 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators.clean import clean, complete_rows
 from ..operators.score import error_sums, hour_of, predict_hours, wide_result
-from ..operators.split import hash_split
+from ..operators.split import hash_split, random_split
 from ..operators.train import fit_hours, load_models, save_models
 from ..schema import KEY, LABELS, RESULT_CONTEXT
-from ..sources.files import write_table
+from ..sources.files import publish, read_clean_csv, read_raw_csv, write_table
 
 ID_CARRY = ("STAT_CYCLE",)
 
@@ -29,15 +29,37 @@ def clean_table(raw: DataFrame, carry=ID_CARRY) -> DataFrame:
     return clean(raw, carry=carry)
 
 
-def model_inputs(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(train, test) complete rows of the cleaned table, split on the key."""
-    return hash_split(complete_rows(cleaned))
+def makedata(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
+             carry=ID_CARRY) -> DataFrame:
+    """The cleaning request end to end: raw CSV (declared schema) → clean →
+    write under ``dst``, replacing what is there. Parquet by default (one file
+    per task); ``fmt="csv"`` publishes one CSV file with a header as the
+    reference does — for small exports, since one task writes it. Returns the
+    written table."""
+    cleaned = clean_table(read_raw_csv(spark, src), carry)
+    if fmt == "csv":
+        publish(cleaned, dst, "csv")
+        return read_clean_csv(spark, dst, carry)
+    write_table(cleaned, dst, fmt)
+    return spark.read.format(fmt).load(dst)
+
+
+def model_inputs(cleaned: DataFrame, split: str = "hash") -> tuple[DataFrame, DataFrame]:
+    """(train, test) complete rows of the cleaned table. ``split="hash"`` splits
+    on the row key (stable across jobs); ``"random"`` is ``randomSplit`` with
+    weights 70/30 and seed 123, whose rows depend on the input partitioning
+    (also used when the table has no key)."""
+    rows = complete_rows(cleaned)
+    if split == "random" or not all(k in rows.columns for k in KEY):
+        train, test = random_split(rows)
+        return train, test
+    return hash_split(rows)
 
 
 def train_models(cleaned: DataFrame, family: str = "ridge", labels=LABELS,
                  model_root: str | None = None, parallelism: int | str = "auto",
-                 stage: str = "cache", **params) -> dict:
-    train, _ = model_inputs(cleaned)
+                 stage: str = "cache", split: str = "hash", **params) -> dict:
+    train, _ = model_inputs(cleaned, split)
     models = fit_hours(train, family, labels, parallelism=parallelism, stage=stage, **params)
     if model_root:
         save_models(models, model_root, family)
@@ -52,8 +74,9 @@ class PredictReport:
     seconds: float = 0.0
 
 
-def scored_test_rows(cleaned: DataFrame, models: dict, digits: int | None = 4) -> DataFrame:
-    _, test = model_inputs(cleaned)
+def scored_test_rows(cleaned: DataFrame, models: dict, digits: int | None = 4,
+                     split: str = "hash") -> DataFrame:
+    _, test = model_inputs(cleaned, split)
     keep = [c for c in dict.fromkeys(KEY + RESULT_CONTEXT) if c in test.columns]
     return predict_hours(test, models, digits, keep=keep)
 
@@ -61,7 +84,7 @@ def scored_test_rows(cleaned: DataFrame, models: dict, digits: int | None = 4) -
 def predict(cleaned: DataFrame, models: dict | None = None, family: str = "ridge",
             model_root: str | None = None, out_path: str | None = None,
             digits: int | None = 4, id_cols=RESULT_CONTEXT, fmt: str = "parquet",
-            solver: str = "mllib") -> PredictReport:
+            solver: str = "mllib", split: str = "hash") -> PredictReport:
     """Score the test rows and write the wide result once. RMSE per hour comes
     from an ``Observation`` computed in the write job itself (exactly once per
     successful task: the observed aggregate runs in the result stage)."""
@@ -69,7 +92,7 @@ def predict(cleaned: DataFrame, models: dict | None = None, family: str = "ridge
     labels = list(models) if models else list(LABELS)
     if models is None:
         models = load_models(model_root, family, labels, solver=solver)
-    scored = scored_test_rows(cleaned, models, digits)
+    scored = scored_test_rows(cleaned, models, digits, split)
     obs = Observation(f"rmse_{family}")
     observed = scored.observe(obs, *error_sums(labels))
     result = wide_result(observed, labels, id_cols)

@@ -97,3 +97,14 @@ def clean_columns(raw_columns=RAW_COLUMNS, carry=()):
     imputation), then the remaining raw columns that cleaning keeps."""
     kept = [c for c in raw_columns if c not in REMOVED or c in carry]
     return ["AREA_NO"] + [c for c in kept if c != "AREA_NO"]
+
+
+def clean_schema(carry=()) -> T.StructType:
+    """Declared schema of the cleaned table (``TRADE_NO`` int, loads double)."""
+    raw = {f.name: f for f in RAW_SCHEMA.fields}
+    fields = []
+    for c in clean_columns(carry=carry):
+        f = raw[c]
+        dtype = T.IntegerType() if c == "TRADE_NO" else f.dataType
+        fields.append(T.StructField(c, dtype, True))
+    return T.StructType(fields)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..schema import RAW_SCHEMA
+from ..schema import RAW_SCHEMA, clean_schema
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -36,6 +36,13 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, "csv", RAW_SCHEMA)
 
 
+def read_clean_csv(spark: SparkSession, path: str, carry=("STAT_CYCLE",)) -> DataFrame:
+    """A published cleaned CSV, with its declared schema. ``carry`` lists the
+    id columns the file keeps beyond the 58 cleaned columns (none for a file
+    in the reference's exact layout)."""
+    return read_table(spark, path, "csv", clean_schema(carry))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 single_file: bool = False, partition_by: list[str] | None = None) -> None:
     out = df.coalesce(1) if single_file else df

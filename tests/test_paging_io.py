@@ -87,3 +87,23 @@ def test_streaming_ingest_and_score(spark, tmp_root, cleaned01):
     scored = spark.read.parquet(f"{tmp_root}/stream_scored")
     assert scored.count() == test.count()
     assert {"TLOAD0", "TLOAD0_RE", "TLOAD1", "TLOAD1_RE", "MP_ID"} <= set(scored.columns)
+
+
+def test_makedata_flow_and_split_options(spark, tmp_root):
+    from loadcast.plans.pipeline import makedata, model_inputs
+    from loadcast.schema import clean_schema
+
+    src = f"{tmp_root}/makedata_src"
+    write_table(meter_day(spark, SF001), src, "csv")
+    out = makedata(spark, src, f"{tmp_root}/makedata_csv", fmt="csv")
+    assert out.schema == clean_schema(("STAT_CYCLE",))
+    assert len([f for f in os.listdir(f"{tmp_root}/makedata_csv") if f.endswith(".csv")]) == 1
+    pq = makedata(spark, src, f"{tmp_root}/makedata_pq")
+    assert pq.count() == out.count() == meter_day(spark, SF001).count()
+    h_train, h_test = model_inputs(pq)
+    r_train, r_test = model_inputs(pq, "random")
+    assert h_train.count() + h_test.count() == r_train.count() + r_test.count()
+    # Without the key (the reference's 58-column layout) the random split is used.
+    no_key = pq.drop("STAT_CYCLE")
+    a, b = model_inputs(no_key)
+    assert a.count() + b.count() == h_train.count() + h_test.count()
