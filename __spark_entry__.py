@@ -36,7 +36,13 @@ from loadcast.operators.paging import page, page_count  # noqa: E402
 from loadcast.operators.score import predict_hours, rmse_report, wide_result  # noqa: E402
 from loadcast.operators.split import hash_split, random_split, split_label  # noqa: E402
 from loadcast.operators.train import fit_hours, load_models, save_models  # noqa: E402
-from loadcast.plans.pipeline import clean_table, model_inputs  # noqa: E402
+from loadcast.plans.pipeline import (  # noqa: E402
+    clean_table,
+    makedata,
+    model_inputs,
+    predict,
+    train_models,
+)
 from loadcast.schema import (  # noqa: E402
     DAY_LAGS,
     FEATURES,
@@ -108,6 +114,13 @@ def q_stream_ingest(spark, sf):
     return spark.read.schema(RAW_SCHEMA).parquet(landed)
 
 
+def q_makedata(spark, sf):
+    # The cleaning request end to end: raw CSV upload → clean → one CSV file.
+    upload = work_dir(spark, "makedata-upload")
+    write_table(_md(spark, sf), upload, "csv")
+    return _rounded(makedata(spark, upload, work_dir(spark, "makedata-out"), fmt="csv"))
+
+
 def q_schema_report(spark, sf):
     return schema_report(_md(spark, sf)).select("ordinal", "column_name", "data_type")
 
@@ -222,6 +235,16 @@ def q_ridge_moments_train_score(spark, sf):
                        RESULT_CONTEXT)
 
 
+def q_ridge_predict_flow(spark, sf):
+    # Train → save → (predict request) load → score → write → read the result.
+    cleaned = _cleaned_keyed(spark, sf)
+    root = work_dir(spark, "flow-models")
+    train_models(cleaned, "ridge", LABELS, model_root=root)
+    out = work_dir(spark, "flow-result")
+    predict(cleaned, family="ridge", model_root=root, out_path=out)
+    return spark.read.parquet(out)
+
+
 def q_forest_train_score(spark, sf):
     return wide_result(_family_scored(spark, sf, "forest"), LABELS, RESULT_CONTEXT)
 
@@ -274,6 +297,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": q_csv_roundtrip,
     "ingest": q_ingest,
     "stream_ingest": q_stream_ingest,
+    "makedata": q_makedata,
     "schema_report": q_schema_report,
     "preview": q_preview,
     "drop_columns": q_drop_columns,
@@ -294,6 +318,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ridge_rmse_report": q_ridge_rmse_report,
     "ridge_cli_score": q_ridge_cli_score,
     "ridge_moments_train_score": q_ridge_moments_train_score,
+    "ridge_predict_flow": q_ridge_predict_flow,
     "forest_train_score": q_forest_train_score,
     "gbt_train_score": q_gbt_train_score,
     "model_save_load": q_model_save_load,

@@ -256,6 +256,7 @@ def oracle_queries() -> dict[str, str]:
         "AS SPLIT FROM split")
 
     cleaned_keyed = with_(meter_day_ctes(), cleaned_cte(ROUND, ("STAT_CYCLE",)))
+    q["makedata"] = cleaned_keyed + "SELECT * FROM cleaned"
     q["page"] = cleaned_keyed + "SELECT * FROM cleaned ORDER BY MP_ID, STAT_CYCLE LIMIT 20 OFFSET 40"
     q["page_indexed"] = (cleaned_keyed
                          + "SELECT * FROM cleaned ORDER BY MP_ID, STAT_CYCLE LIMIT 20 OFFSET 2000")
