@@ -29,9 +29,14 @@ def page_count(df: DataFrame, per_page: int = PAGE_SIZE) -> DataFrame:
 
 
 def _sort_keys(df: DataFrame, order_by) -> list[str]:
+    """The requested ordering columns that exist; when the full key is not
+    there (a published result without ``STAT_CYCLE``), every other column is
+    appended as a tie-breaker so that pages never overlap or skip rows."""
     keys = [c for c in order_by if c in df.columns]
+    if len(keys) < len(order_by):
+        keys += [c for c in df.columns if c not in keys]
     if not keys:
-        raise ValueError("paging needs at least one ordering column present in the table")
+        raise ValueError("paging needs at least one ordering column")
     return keys
 
 

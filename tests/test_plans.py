@@ -70,3 +70,24 @@ def test_scan_gets_pushed_filters_and_pruned_columns(spark, cleaned01, tmp_root)
     assert "Exchange" not in plan
     means_plan = _plan(table.groupBy("AREA_NO").agg(F.avg("LOAD0")))
     assert "ReadSchema: struct<AREA_NO:int,LOAD0:double>" in means_plan
+
+
+def test_meter_day_plan_reads_three_columns_and_shuffles_twice(spark):
+    from loadcast.sources.meter_day import meter_day
+
+    from .conftest import SF001
+    plan = _plan(meter_day(spark, SF001))
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in \
+        meter_day(spark, SF001)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    # Partial aggregate before the first exchange (map-side combine).
+    assert "partial_sum" in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_result_pages_without_full_key_are_a_partition(spark):
+    from loadcast.operators.paging import page
+
+    df = spark.createDataFrame([(i % 3, float(i)) for i in range(47)], "MP_ID long, TLOAD0 double")
+    rows = [r for p in range(1, 4) for r in page(df, p, 20).collect()]
+    assert sorted(r.TLOAD0 for r in rows) == [float(i) for i in range(47)]
