@@ -125,6 +125,11 @@ def q_schema_report(spark, sf):
     return schema_report(_md(spark, sf)).select("ordinal", "column_name", "data_type")
 
 
+def q_schema_report_clean(spark, sf):
+    # Schema of the cleaned table (the second schema the reference prints).
+    return schema_report(clean(_md(spark, sf))).select("ordinal", "column_name", "data_type")
+
+
 def q_preview(spark, sf):
     return preview(_md(spark, sf), 20, ("STAT_CYCLE",) + RESULT_CONTEXT)
 
@@ -299,6 +304,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": q_stream_ingest,
     "makedata": q_makedata,
     "schema_report": q_schema_report,
+    "schema_report_clean": q_schema_report_clean,
     "preview": q_preview,
     "drop_columns": q_drop_columns,
     "missing_profile": q_missing_profile,

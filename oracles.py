@@ -195,6 +195,13 @@ def oracle_queries() -> dict[str, str]:
         "ELSE lower(column_type) END AS data_type FROM (DESCRIBE ("
         + md + f"SELECT {raw_cols} FROM meter_day))")
 
+    q["schema_report_clean"] = (
+        "SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS ordinal, column_name, "
+        "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
+        "WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' "
+        "ELSE lower(column_type) END AS data_type FROM (DESCRIBE ("
+        + with_(meter_day_ctes(), cleaned_cte(None)) + "SELECT * FROM cleaned))")
+
     q["preview"] = (md + "SELECT " + ", ".join(("STAT_CYCLE",) + RESULT_CONTEXT)
                     + " FROM meter_day ORDER BY MP_ID, STAT_CYCLE LIMIT 20")
 

@@ -9,7 +9,7 @@ from .conftest import SF001
 from .oracle_check import compare, duck
 
 FAST = [
-    "meter_day", "schema_report", "preview", "drop_columns", "missing_profile",
+    "meter_day", "schema_report", "schema_report_clean", "preview", "drop_columns", "missing_profile",
     "area_means", "impute_area_mean", "recode_trade", "clean", "complete_rows",
     "hash_split", "assemble_features", "page", "page_count", "result_append",
     "ridge_single_feature", "relative_error", "rmse_by_hour",
