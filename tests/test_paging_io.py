@@ -107,3 +107,26 @@ def test_makedata_flow_and_split_options(spark, tmp_root):
     no_key = pq.drop("STAT_CYCLE")
     a, b = model_inputs(no_key)
     assert a.count() + b.count() == h_train.count() + h_test.count()
+
+
+def test_stream_ingest_restart_processes_each_file_once(spark, tmp_root):
+    import uuid
+
+    run = f"{tmp_root}/restart-{uuid.uuid4().hex[:8]}"
+    raw = meter_day(spark, SF001)
+    first = raw.where(F.col("MP_ID") % 2 == 0)
+    second = raw.where(F.col("MP_ID") % 2 == 1)
+    write_table(first, f"{run}/src/batch1", "csv")
+    ckpt, dst = f"{run}/ckpt", f"{run}/landed"
+    ingest_stream(spark, f"{run}/src/*", dst, checkpoint=ckpt).awaitTermination(120)
+    n1 = spark.read.parquet(dst).count()
+    assert n1 == first.count()
+    # Restart with nothing new: no file is read twice.
+    ingest_stream(spark, f"{run}/src/*", dst, checkpoint=ckpt).awaitTermination(120)
+    assert spark.read.parquet(dst).count() == n1
+    # A new upload lands: only it is added.
+    write_table(second, f"{run}/src/batch2", "csv")
+    ingest_stream(spark, f"{run}/src/*", dst, checkpoint=ckpt).awaitTermination(120)
+    landed = spark.read.schema(RAW_SCHEMA).parquet(dst)
+    assert landed.count() == raw.count()
+    assert landed.exceptAll(raw).count() == 0 and raw.exceptAll(landed).count() == 0
