@@ -40,14 +40,20 @@ def _sort_keys(df: DataFrame, order_by) -> list[str]:
     return keys
 
 
-def page(df: DataFrame, page_no: int = 1, per_page: int = PAGE_SIZE, order_by=KEY) -> DataFrame:
+def page(df: DataFrame, page_no: int = 1, per_page: int = PAGE_SIZE, order_by=KEY,
+         method: str = "auto") -> DataFrame:
     """Rows of page ``page_no`` (1-based) in ``order_by`` order. Pages past the
-    end are empty; ``page_no < 1`` is rejected."""
+    end are empty; ``page_no < 1`` is rejected. ``method``: ``"top_k"``,
+    ``"index"`` (range-partitioned index), or ``"auto"`` (top-k up to
+    ``TOP_K_LIMIT`` rows of offset, the index beyond)."""
     if page_no < 1 or per_page < 1:
         raise ValueError("page numbers and page sizes start at 1")
+    if method not in ("auto", "top_k", "index"):
+        raise ValueError(f"unknown paging method {method!r}")
     keys = _sort_keys(df, order_by)
     start = (page_no - 1) * per_page
-    if start + per_page <= TOP_K_LIMIT:
+    use_top_k = start + per_page <= TOP_K_LIMIT if method == "auto" else method == "top_k"
+    if use_top_k:
         return df.orderBy(*keys).offset(start).limit(per_page)
     return _indexed_slice(df, keys, start, start + per_page)
 

@@ -30,8 +30,10 @@ def _join(items, sep=",\n  "):
     return sep.join(items)
 
 
-def meter_day_ctes() -> str:
-    """CTEs ``loads`` and ``meter_day`` (107 columns)."""
+def meter_day_ctes(meters: int | None = None) -> str:
+    """CTEs ``loads`` and ``meter_day`` (107 columns); ``meters`` folds users
+    into that many metering points (user_id % meters)."""
+    mp = "user_id" if meters is None else f"user_id % {int(meters)}"
     sums = _join(
         f"CAST(SUM(v) FILTER (WHERE h = {h}) AS DOUBLE) AS {c}" for h, c in zip(HOURS, LABELS))
     lag_cols = []
@@ -53,7 +55,7 @@ def meter_day_ctes() -> str:
   CASE WHEN (MP_ID + dd) % 17 = 0 THEN NULL ELSE 4e1 + (MP_ID * 5 + dd * 3) % 50 END AS HUMIDITY,
   ((dd * 17 + MP_ID) % 30) / 10e0 AS PRECIPITATIONRANINFALL"""
     return f"""ev AS (
-  SELECT CAST(user_id AS BIGINT) AS MP_ID, CAST(ts AS DATE) AS STAT_CYCLE,
+  SELECT CAST({mp} AS BIGINT) AS MP_ID, CAST(ts AS DATE) AS STAT_CYCLE,
          hour(ts) AS h, CAST(value AS DECIMAL(18,2)) AS v
   FROM events
 ),
