@@ -149,3 +149,14 @@ def test_moments_solver_matches_mllib(splits, tmp_root):
     assert list(back) == labels
     assert np.array_equal(back["LOAD5"].coefficients.toArray(),
                           mo["LOAD5"].coefficients.toArray())
+
+
+def test_checkpoint_staging_gives_same_models(splits):
+    train, _ = splits
+    labels = ["LOAD2", "LOAD9"]
+    cached = fit_hours(train, "ridge", labels, stage="cache")
+    frozen = fit_hours(train, "ridge", labels, stage="checkpoint")
+    for label in labels:
+        assert np.allclose(cached[label].coefficients.toArray(),
+                           frozen[label].coefficients.toArray(), rtol=1e-10, atol=1e-12)
+        assert cached[label].intercept == pytest.approx(frozen[label].intercept, rel=1e-10)
