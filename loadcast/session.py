@@ -58,3 +58,23 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/loadcast/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Starting values for a large run, from the input size and the cluster's
+    total cores: scan splits and shuffle partitions of about
+    ``target_partition_bytes`` (so a task's share fits executor memory and
+    spills little), at least two waves of tasks, AQE to coalesce small
+    partitions and split skewed ones at run time."""
+    by_size = -(-int(input_bytes) // int(target_partition_bytes))
+    partitions = max(2 * int(total_cores), by_size)
+    size = str(int(target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

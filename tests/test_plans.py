@@ -111,3 +111,12 @@ def test_hot_meters_third_of_events_match_sql(spark):
     ok, msg = compare(rows, out.columns, res.fetchall(), [d[0] for d in res.description])
     assert ok, msg
     assert len(rows) == 90  # 3 meters × 30 days
+
+
+def test_scale_settings_for_100_tb():
+    from loadcast.session import scale_settings
+
+    conf = scale_settings(100 * 1024 ** 4, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 819200  # 100 TB / 128 MB
+    assert scale_settings(10 * 1024 ** 2, 8000)["spark.sql.shuffle.partitions"] == "16000"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
