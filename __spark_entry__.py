@@ -335,13 +335,26 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The training-text operators; absent when the subpackage is not installed.
+try:
+    import corpus_pipeline
+    from loadcast.llm.oracles import ORACLES as _LLM_ORACLES
+    from loadcast.llm.queries import QUERIES as _LLM_QUERIES
+except ImportError:
+    _LLM_QUERIES, _LLM_ORACLES = {}, {}
+else:
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_ORACLES = {**_LLM_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracles import oracle_queries
-    return oracle_queries()
+    return {**oracle_queries(), **_LLM_ORACLES}
 
 
 __all__ = ["entry", "queries", "oracle_sql", "RAW_SCHEMA", "FEATURES"]
