@@ -51,3 +51,50 @@ FROM f"""
 
 
 ORACLES["op8_quality_rules"] = _quality_sql()
+
+
+def _line_sql() -> str:
+    from loadcast.llm.lines import MIN_CHARS, MIN_DOCS
+    from loadcast.llm.text import LOWER, SPACE_CHARS, UPPER
+
+    space = " || ".join([f"chr({ord(c)})" for c in SPACE_CHARS])
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l
+           FROM documents),
+x AS (SELECT rid, doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos FROM d),
+k AS (SELECT rid, doc_id, line, pos,
+             translate(trim(line, {space}), '{UPPER}', '{LOWER}') AS key FROM x),
+common AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= {MIN_CHARS}
+           GROUP BY key HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
+f AS (SELECT k.*, common.key IS NOT NULL AND doc_id IS DISTINCT FROM last AS gone
+      FROM k LEFT JOIN common USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*)::bigint AS n_lines,
+       count(*) FILTER (gone)::bigint AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM f GROUP BY rid"""
+
+
+ORACLES["op6_line_dedup"] = _line_sql()
+
+
+def _mix_sql() -> str:
+    from loadcast.llm.mixing import HEX_DIGITS, POWER, SEED
+
+    return f"""
+WITH s AS (SELECT source, count(*) AS n, pow(count(*)::double, {POWER}) AS w FROM documents GROUP BY source),
+r AS (SELECT source, w / (SELECT sum(w) FROM s) * (SELECT sum(n) FROM s)::double / n AS rate FROM s),
+p AS (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 40)::bigint + 1)) AS k FROM r),
+c AS (SELECT source, k, sum(CASE WHEN k = 0 THEN exp(-rate)
+                                 WHEN rate > 0 THEN exp(k * ln(rate) - rate - lgamma(k + 1)) ELSE 0 END)
+             OVER (PARTITION BY source ORDER BY k) AS cdf FROM p),
+u AS (SELECT *, row_number() OVER () AS rid,
+             ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::varchar, 'null')), 1, {HEX_DIGITS}))::bigint
+             / {float(16 ** HEX_DIGITS)!r}::double AS u FROM documents),
+n AS (SELECT rid, count(*)::int AS n_copies FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.source
+      WHERE cdf <= u GROUP BY rid),
+x AS (SELECT u.* EXCLUDE (rid, u), n_copies, unnest(range(1, n_copies + 1))::int AS copy
+      FROM u JOIN n USING (rid))
+SELECT *, md5('{SEED}-order:' || coalesce(doc_id::varchar, 'null') || ':' || copy) AS shuffle_key FROM x"""
+
+
+ORACLES["op7_source_mixing"] = _mix_sql()

@@ -5,11 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadcast.llm import quality
+from loadcast.llm import lines, mixing, quality, shards
 from loadcast.llm.store import table
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", *quality.BASE_METRICS[1:], "n_stop_words", "n_stutters",
@@ -17,5 +32,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_sharding": op5_sharding,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_source_mixing": op7_source_mixing,
     "op8_quality_rules": op8_quality_rules,
 }
