@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import chunks, jaccard, lines, mixing, pieces, quality, shards
+from loadcast.llm import chunks, jaccard, lines, mixing, nearvec, pieces, quality, shards
 from loadcast.llm.store import table
 
 
@@ -19,6 +19,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearvec.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_near_vectors": op4_near_vectors,
     "op5_sharding": op5_sharding,
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mixing": op7_source_mixing,
