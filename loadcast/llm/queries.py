@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import chunks, jaccard, lines, mixing, nearvec, pieces, quality, shards
+from loadcast.llm import chunks, jaccard, lines, mixing, nearvec, pagetext, pieces, quality, shards
 from loadcast.llm.store import table
 
 
@@ -15,6 +15,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_documents(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_near_vectors": op4_near_vectors,
     "op5_sharding": op5_sharding,
