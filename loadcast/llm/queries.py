@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import chunks, jaccard, lines, mixing, nearvec, pagetext, pieces, quality, shards
+from loadcast.llm import chunks, jaccard, lines, lm, mixing, nearvec, pagetext, pieces, quality, shards
 from loadcast.llm.store import table
 
 
@@ -47,6 +47,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -60,5 +64,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_sentencepiece": op10_sentencepiece,
 }
