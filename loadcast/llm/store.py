@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def land(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/loadcast-llm/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
