@@ -62,13 +62,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     whole = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "text",
                         r1.alias("_r1"), r2.alias("_r2"))
     met = whole.join(hits, ["_r1", "_r2"], "left")
-    n_lines, n_dropped = (fresh(docs.columns, n) for n in ("n_lines", "n_dropped"))
+    n_lines, n_dropped, new = (fresh(docs.columns, n) for n in ("n_lines", "n_dropped", "left"))
     left = let(line_array(F.col("text")), lambda x: F.array_join(
         F.filter(x, lambda _, i: ~F.array_contains("_gone", i)), "\n"))
     out = met.select(
         "_doc.*",
-        F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias("_left"),
+        F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias(new),
         F.size(line_array(F.col("text"))).cast("long").alias(n_lines),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(n_dropped))
-    return out.select(*[F.col("_left").alias("text") if c == "text" else F.col(c) for c in docs.columns],
+    return out.select(*[F.col(new).alias("text") if c == "text" else F.col(c) for c in docs.columns],
                       n_lines, n_dropped)

@@ -75,13 +75,14 @@ def mix(docs: DataFrame, weights: dict | None = None, seed: str = SEED, power: f
     """``docs`` replicated to the target weights in random order, with ``copy``
     (from 1), ``n_copies`` and ``shuffle_key``."""
     copy, n_copies, key = (fresh(docs.columns, n) for n in ("copy", "n_copies", "shuffle_key"))
-    table = cut(cumulative(rates(docs, weights, power))).withColumnRenamed("source", "_source")
+    source, cdf = fresh(docs.columns, "mix_source"), fresh(docs.columns, "cdf")
+    table = cut(cumulative(rates(docs, weights, power))).withColumnsRenamed({"source": source, "cdf": cdf})
     if table.count() <= BROADCAST_SOURCES:
         table = F.broadcast(table)
     u = uniform(seed, F.col("doc_id"))
-    drawn = (docs.join(table, F.col("source").eqNullSafe(F.col("_source")))
-             .withColumn(n_copies, F.size(F.filter("cdf", lambda c: c <= u)))
-             .drop("_source", "cdf").where(F.col(n_copies) > 0))
+    drawn = (docs.join(table, F.col("source").eqNullSafe(F.col(source)))
+             .withColumn(n_copies, F.size(F.filter(cdf, lambda c: c <= u)))
+             .drop(source, cdf).where(F.col(n_copies) > 0))
     copies = drawn.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n_copies))))
     keyed = copies.withColumn(key, F.md5(F.concat_ws(
         ":", F.lit(seed + "-order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
