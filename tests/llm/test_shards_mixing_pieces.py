@@ -1,0 +1,156 @@
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+import __spark_entry__ as entry
+from loadcast.llm import mixing, pieces, shards
+
+from ..oracle_check import compare, duck
+from .fixtures import awkward, awkward_rows, clashing, empty
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_deal_is_longest_processing_time():
+    rng = random.Random(3)
+    units = [((k, True, 0), rng.randrange(1, 500)) for k in range(400)]
+    got = shards.deal(units, 7)
+    loads = [0] * 7
+    for unit, size in sorted(units, key=lambda u: (-u[1], u[0])):
+        least = min(range(7), key=lambda s: (loads[s], s))
+        assert got[unit] == least
+        loads[least] += size
+    assert max(loads) - min(loads) <= min(s for _, s in units) + 1 or max(loads) <= sum(loads) / 7 * 4 / 3
+
+
+def test_shards_keep_groups_sizes_and_slots(spark):
+    rows = awkward_rows()
+    out = shards.shard_documents(clashing(spark)).collect()
+    assert len(out) == len(rows)
+    size = lambda t: len((t or "").encode()) + 8
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == Counter(
+        (i, size(t), zlib.crc32((t or "").encode())) for i, t, *_ in rows)
+    by = defaultdict(list)
+    for r in out:
+        by[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and set(by) <= set(range(24))
+    texts = {(i, size(t), zlib.crc32((t or "").encode())): t for i, t, *_ in rows}
+    places = defaultdict(set)
+    for r in out:
+        places[texts[r.doc_id, r.size, r.text_crc32]].add(r.shard)
+    assert all(len(v) == 1 for v in places.values())
+    assert shards.shard_documents(empty(spark)).count() == 0
+
+
+def test_shard_loads_are_near_equal_with_bundles(spark):
+    rows = [(k, "x" * (k % 97), "en", "s", 1) for k in range(3000)] + [(9000 + k, f"big{k}" * 900, "en", "s", 1) for k in range(30)]
+    df = spark.createDataFrame(rows, awkward(spark).schema)
+    out = shards.shard_documents(df, shards=5, fineness=8).collect()
+    loads = Counter()
+    for r in out:
+        loads[r.shard] += r.size
+    grain = sum(loads.values()) / 40
+    assert max(loads.values()) - min(loads.values()) <= 2 * grain
+
+
+def test_slots_over_many_buckets(spark):
+    rows = spark.range(5000).selectExpr("id as doc_id", "cast(id % 3 as int) as shard")
+    got = defaultdict(list)
+    for r in shards.slots(rows, ["doc_id"], rows_per_bucket=100).collect():
+        got[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in got.values())
+
+
+def test_mix_reaches_target_weights(spark):
+    rows = [(k, f"t{k}", "en", "a" if k % 10 else "b", 1) for k in range(6000)]
+    df = spark.createDataFrame(rows, awkward(spark).schema)
+    out = mixing.mix(df, {"a": 1.0, "b": 3.0})
+    n = Counter(r.source for r in out.select("source").collect())
+    assert abs(n["b"] / 6000 - 0.75) < 0.03 and abs(n["a"] / 6000 - 0.25) < 0.03
+    again = mixing.mix(df.repartition(3), {"a": 1.0, "b": 3.0})
+    key = lambda d: sorted((r.doc_id, r.copy, r.n_copies, r.shuffle_key) for r in d.collect())
+    assert key(out) == key(again)
+    copies = defaultdict(list)
+    for r in out.collect():
+        copies[r.doc_id].append((r.copy, r.n_copies))
+    assert all(sorted(c for c, _ in v) == list(range(1, v[0][1] + 1)) for v in copies.values())
+    assert mixing.mix(df, {"a": 1.0}).where("source = 'b'").count() == 0
+
+
+def test_mix_large_rate_and_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    rows = [(k, "t", "en", "rare" if k < 2 else "rest", 1) for k in range(3000)]
+    out = mixing.mix(spark.createDataFrame(rows, awkward(spark).schema), {"rare": 1.0, "rest": 0.0})
+    n = out.count()  # two documents at a rate of 1500 each
+    assert 2600 < n < 3400 and out.where("source = 'rest'").count() == 0
+
+
+def test_mix_awkward_rows(spark):
+    out = mixing.mix(clashing(spark))
+    assert out.columns[:-3] == clashing(spark).columns
+    assert out.columns[-3:] == ["_copy", "_n_copies", "_shuffle_key"]
+    assert all(r.cdf == "own cdf" for r in out.collect())
+    assert mixing.mix(empty(spark)).count() == 0
+    plan = mixing.mix(awkward(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "BatchEvalPython" not in plan
+
+
+@pytest.mark.parametrize("name", ["op6_line_dedup", "op7_source_mixing", "op8_quality_rules"])
+def test_queries_match_their_sql(spark, name):
+    df = entry.queries()[name](spark, SF)
+    res = duck(SF).execute(entry.oracle_sql()[name])
+    ok, msg = compare([tuple(r) for r in df.collect()], df.columns, res.fetchall(), [d[0] for d in res.description])
+    assert ok, msg
+
+
+@pytest.fixture(scope="module")
+def library():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+
+
+PARTS = [" ", "  ", "a", "b", "e", "the", "ing", "\n", "▁", "\t", "é", "日", "本", "😀", "\x00", "aa", "==", "--", "0", "1", "<s>",
+         "</s>", "<0x0A>", "<unk>", " " * 7, "\r\n", "�", "́", "　", "ß"]
+
+
+def test_pieces_equal_the_library(library):
+    model, rng = pieces.load(pieces.default_model()), random.Random(11)
+    texts = [t or "" for _, t, *_ in awkward_rows()]
+    texts += ["".join(rng.choice(PARTS) for _ in range(rng.randrange(30))) for _ in range(4000)]
+    texts += [" " * rng.randrange(70) + rng.choice(["", "a", "\n"]) + " " * rng.randrange(70) for _ in range(300)]
+    texts += ["".join(chr(rng.choice([rng.randrange(1, 0x300), rng.randrange(0x2000, 0xD800), rng.randrange(0x10000, 0x20000)]))
+                      for _ in range(rng.randrange(50))) for _ in range(500)]
+    texts += ["a" * 20_000, "=" * 5_000, "ab" * 9_000]
+    for t in texts:
+        ids = library.encode(t, add_bos=True, add_eos=True)
+        assert model.encode(t) == ids
+        assert model.decode(ids) == library.decode(ids)
+    for _ in range(3000):
+        ids = [rng.choice([rng.randrange(300), rng.randrange(32_000)]) for _ in range(rng.randrange(12))]
+        assert model.decode(ids) == library.decode(ids)
+
+
+def test_pieces_memory_bound_does_not_change_ids(library, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED_CHARS", 50)
+    monkeypatch.setattr(pieces, "REMEMBERED_PAIRS", 20)
+    model = pieces.PieceModel(pieces.default_model())
+    for _, t, *_ in awkward_rows()[5:40]:
+        assert model.encode(t) == library.encode(t or "", add_bos=True, add_eos=True)
+
+
+def test_encode_documents(spark, library):
+    rows = awkward_rows()
+    got = Counter(tuple(r) for r in pieces.encode_documents(clashing(spark)).collect())
+    want = Counter()
+    for i, t, *_ in rows:
+        ids = library.encode(t or "", add_bos=True, add_eos=True)
+        packed = b"".join(x.to_bytes(4, "little") for x in ids)
+        want[i, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()] += 1
+    assert got == want
+    assert pieces.encode_documents(empty(spark)).count() == 0
+    some = pieces.encode_documents(awkward(spark), with_ids=True).where("doc_id = 5").first()
+    assert library.decode(some.ids) == "one two"
