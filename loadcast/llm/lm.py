@@ -54,7 +54,7 @@ TAIL = 64
 WIDTH = 16
 STEP = 12
 BATCH = 512
-RATE = 0.01
+RATE = 0.03
 SEED = 20
 LANES = 32
 #: Distinct words a task counts, and characters of words it remembers.
