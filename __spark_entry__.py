@@ -32,7 +32,7 @@ from loadcast.operators.clean import (  # noqa: E402
     recode_trade,
 )
 from loadcast.operators.features import features_array  # noqa: E402
-from loadcast.operators.paging import page, page_count  # noqa: E402
+from loadcast.operators.paging import build_page_index, page, page_count, read_page  # noqa: E402
 from loadcast.operators.score import predict_hours, rmse_report, wide_result  # noqa: E402
 from loadcast.operators.split import hash_split, random_split, split_label  # noqa: E402
 from loadcast.operators.train import fit_hours, load_models, save_models  # noqa: E402
@@ -65,7 +65,7 @@ from loadcast.streaming.incremental import ingest_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 ROUND = 6
-PARALLEL_FITS = "auto"
+PARALLEL_FITS = 8
 
 
 def _rounded(df: DataFrame, cols=IMPUTED, digits: int = ROUND) -> DataFrame:
@@ -115,7 +115,7 @@ def q_stream_ingest(spark, sf):
 
 
 def q_makedata(spark, sf):
-    # The cleaning request end to end: raw CSV upload → clean → one CSV file.
+    # The cleaning request end to end: raw CSV upload → clean → CSV part files.
     upload = work_dir(spark, "makedata-upload")
     write_table(_md(spark, sf), upload, "csv")
     return _rounded(makedata(spark, upload, work_dir(spark, "makedata-out"), fmt="csv"))
@@ -289,8 +289,71 @@ def q_page(spark, sf):
 
 
 def q_page_indexed(spark, sf):
-    # Page 101 through the range-partitioned index (the deep-page path).
-    return _rounded(page(_cleaned_keyed(spark, sf), 101, 20, method="index"))
+    # Page 101 of a stored index.
+    path = build_page_index(_cleaned_keyed(spark, sf), work_dir(spark, "index"))
+    return _rounded(read_page(spark, path, 101, 20))
+
+
+def q_page_tied_key(spark, sf):
+    # Ordered by a column with three values: the key breaks the ties.
+    path = build_page_index(_cleaned_keyed(spark, sf), work_dir(spark, "tied"), ["AREA_NO"])
+    return _rounded(read_page(spark, path, 7, 20))
+
+
+def q_csv_reordered(spark, sf):
+    # An upload with its columns in another order and one more than declared.
+    path = work_dir(spark, "reordered")
+    raw = _md(spark, sf)
+    write_table(raw.select(F.lit("x").alias("REMARK"), *reversed(raw.columns)), path, "csv")
+    return read_raw_csv(spark, path)
+
+
+def q_stream_ingest_restart(spark, sf):
+    # Two uploads with a restart of the stream between them.
+    upload, landed = work_dir(spark, "restart-upload"), work_dir(spark, "restart-landed")
+    raw = _md(spark, sf)
+    for side in (0, 1):
+        write_table(raw.where(F.col("MP_ID") % 2 == side), f"{upload}/batch{side}", "csv")
+        ingest_stream(spark, f"{upload}/*", landed).awaitTermination()
+    return spark.read.schema(RAW_SCHEMA).parquet(landed)
+
+
+def q_trade_codes(spark, sf):
+    # Every form of a trade code, one per event.
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    forms = F.array(*[F.lit(c) for c in ("3100", "3100.0", " 31 ", "31B0", "31C0", "", "-7.9")])
+    coded = events.select("event_id", F.get(forms, (F.col("event_id") % 7).cast("int")).alias("TRADE_NO"))
+    return recode_trade(coded)
+
+
+def q_random_split_keys(spark, sf):
+    # Each key of the complete rows falls on exactly one side.
+    train, test = random_split(complete_rows(_cleaned_keyed(spark, sf)))
+    both = train.select(*KEY).unionByName(test.select(*KEY))
+    return both.groupBy(*KEY).agg(F.count("*").alias("times"))
+
+
+CELL_FEATURES = ["AREA_NO", "HOLIDAY", "ELECTRO_TYPE"]
+CELL_LABELS = ["LOAD0", "LOAD8", "LOAD16"]
+
+
+def _cells(spark, sf, family, **params):
+    # Trees over three category columns separate every cell, so a prediction is
+    # the training mean of its cell; fit, save, load, transform.
+    train, test = model_inputs(_cleaned_keyed(spark, sf))
+    models = fit_hours(train, family, CELL_LABELS, CELL_FEATURES, parallelism=PARALLEL_FITS, **params)
+    root = work_dir(spark, f"{family}-cells")
+    save_models(models, root, family)
+    scored = predict_hours(test, load_models(root, family, CELL_LABELS), None, features=CELL_FEATURES, keep=list(KEY))
+    return scored.select(*KEY, *[F.round(F.col(f"TLOAD{c[4:]}"), ROUND).alias(f"TLOAD{c[4:]}") for c in CELL_LABELS])
+
+
+def q_forest_cells(spark, sf):
+    return _cells(spark, sf, "forest", bootstrap=False, featureSubsetStrategy="all")
+
+
+def q_gbt_cells(spark, sf):
+    return _cells(spark, sf, "gbt")
 
 
 def q_page_count(spark, sf):
@@ -331,6 +394,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "result_append": q_result_append,
     "page": q_page,
     "page_indexed": q_page_indexed,
+    "page_tied_key": q_page_tied_key,
+    "csv_reordered": q_csv_reordered,
+    "stream_ingest_restart": q_stream_ingest_restart,
+    "trade_codes": q_trade_codes,
+    "random_split_keys": q_random_split_keys,
+    "forest_cells": q_forest_cells,
+    "gbt_cells": q_gbt_cells,
     "page_count": q_page_count,
 }
 

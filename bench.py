@@ -55,8 +55,7 @@ def main() -> None:
     info["raw_rows"] = raw.count()
     step("clean", lambda: write_table(clean_table(raw), clean_path))
     cleaned = spark.read.parquet(clean_path)
-    parallel = os.environ.get("BENCH_PARALLEL_FITS", "auto")
-    parallel = int(parallel) if parallel.isdigit() else parallel
+    parallel = int(os.environ.get("BENCH_PARALLEL_FITS", cpus))
     for name in families:
         fam, solver = ("ridge", "moments") if name == "ridge_moments" else (name, "mllib")
 

@@ -16,14 +16,16 @@ def _c(x) -> Column:
 def recode_trade_expr(c="TRADE_NO", numeric: bool = False) -> Column:
     """``31B0`` → 3000, then an integer; any other non-numeric code → null.
 
-    ``try_cast`` keeps the behaviour of a non-ANSI cast (null on a bad code)
-    under ANSI mode. A column that is numeric already has nothing to recode.
+    As a non-ANSI cast reads it: space around the number and a decimal part are
+    dropped (``3100.0`` → 3100), a bad code gives null under ANSI mode as well. A
+    column that is numeric already has nothing to recode.
     """
     col = _c(c)
     if numeric:
         return col.cast("int")
     recoded = F.when(col == F.lit(TRADE_CODE_FROM), F.lit(TRADE_CODE_TO)).otherwise(col)
-    return recoded.try_cast("int")
+    whole = F.regexp_extract(recoded, r"^\s*([+-]?\d+)(\.\d*)?\s*$", 1)
+    return whole.try_cast("int")
 
 
 def relative_error_expr(label, prediction) -> Column:

@@ -1,25 +1,25 @@
-"""Pages of a table in key order, and the page count.
-
-A page is rows [(p−1)·n, p·n) in key order. Near pages (offset up to
-``TOP_K_LIMIT`` rows) use a top-k sort: every task keeps its first p·n rows
-and the driver merges them. Deep pages would make that buffer grow with p, so
-they use a range-partitioned index instead: rows are range-partitioned and
-sorted by the key and checkpointed, each task numbers its rows, the
-per-partition row counts
-(one row per partition, a bound fixed by the partition count) give each
-partition's global offset, and only the requested slice is kept. Both paths
-are distributed; neither gathers the table anywhere.
+"""Pages of a table from a stored index, and the page count.
+
+``build_page_index`` orders a table once: rows are range-partitioned and sorted
+by the requested columns and, behind them, by the key and all other columns, so
+that the order is total and pages never overlap or skip rows on ties. Each row
+gets its number and is written under its chunk, a fixed number of consecutive
+rows. ``read_page`` then opens only the one or two chunks a page lies in, however
+deep it is. Nothing is merged on the driver.
+
+Rows equal in every column are interchangeable; each has a number of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import KEY, PAGE_SIZE
+from ..session import work_dir
 from .joins import materialize
 
-TOP_K_LIMIT = 100_000
+ROWS_PER_CHUNK = 100_000
 
 
 def page_count(df: DataFrame, per_page: int = PAGE_SIZE) -> DataFrame:
@@ -29,56 +29,54 @@ def page_count(df: DataFrame, per_page: int = PAGE_SIZE) -> DataFrame:
 
 
 def _sort_keys(df: DataFrame, order_by) -> list[str]:
-    """The requested ordering columns that exist; when the full key is not
-    there (a published result without ``STAT_CYCLE``), every other column is
-    appended as a tie-breaker so that pages never overlap or skip rows."""
-    keys = [c for c in order_by if c in df.columns]
-    if len(keys) < len(order_by):
-        keys += [c for c in df.columns if c not in keys]
-    if not keys:
+    """The requested columns that exist, then the key, then all others."""
+    asked = [c for c in order_by if c in df.columns]
+    if not asked:
         raise ValueError("paging needs at least one ordering column")
-    return keys
+    return list(dict.fromkeys([*asked, *[c for c in KEY if c in df.columns], *df.columns]))
 
 
-def page(df: DataFrame, page_no: int = 1, per_page: int = PAGE_SIZE, order_by=KEY,
-         method: str = "auto") -> DataFrame:
-    """Rows of page ``page_no`` (1-based) in ``order_by`` order. Pages past the
-    end are empty; ``page_no < 1`` is rejected. ``method``: ``"top_k"``,
-    ``"index"`` (range-partitioned index), or ``"auto"`` (top-k up to
-    ``TOP_K_LIMIT`` rows of offset, the index beyond)."""
-    if page_no < 1 or per_page < 1:
-        raise ValueError("page numbers and page sizes start at 1")
-    if method not in ("auto", "top_k", "index"):
-        raise ValueError(f"unknown paging method {method!r}")
+def build_page_index(df: DataFrame, path: str, order_by=KEY, rows_per_chunk: int = ROWS_PER_CHUNK) -> str:
+    """Write ``df`` in page order under ``path``, a folder per chunk."""
     keys = _sort_keys(df, order_by)
-    start = (page_no - 1) * per_page
-    use_top_k = start + per_page <= TOP_K_LIMIT if method == "auto" else method == "top_k"
-    if use_top_k:
-        return df.orderBy(*keys).offset(start).limit(per_page)
-    return _indexed_slice(df, keys, start, start + per_page)
-
-
-def _indexed_slice(df: DataFrame, keys: list[str], start: int, stop: int) -> DataFrame:
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Checkpointed: the per-partition counts and the numbering below must see
-    # the same partitions; a recomputed range shuffle may sample other bounds.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Checkpointed: the counts and the numbering below must see the same
+    # partitions; a recomputed range shuffle may sample other bounds.
     ranged = materialize(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys))
-    numbered = ranged.select(
-        "*",
-        F.spark_partition_id().alias("__part"),
-        F.monotonically_increasing_id().alias("__mono"),
-    )
+    numbered = ranged.select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__mono"))
     counts = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: the window below runs over ``parts`` rows only.
-    offsets = counts.select(
-        "__part",
-        (F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__offset"),
-    ).fillna(0, subset=["__offset"])
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("__part", F.coalesce(before, F.lit(0)).alias("__offset"))
     # monotonically_increasing_id = (partition << 33) + row number in partition.
     local = F.col("__mono") - F.shiftleft(F.col("__part").cast("long"), 33)
-    indexed = numbered.join(F.broadcast(offsets), "__part").withColumn(
-        "__row", F.col("__offset") + local)
-    sliced = indexed.where((F.col("__row") >= start) & (F.col("__row") < stop))
-    return sliced.orderBy("__row").drop("__part", "__mono", "__offset", "__row")
+    row = (F.col("__offset") + local).cast("long")
+    (numbered.join(offsets, "__part").withColumn("__row", row)
+     .withColumn("__chunk", F.floor(F.col("__row") / rows_per_chunk).cast("long"))
+     .drop("__part", "__mono", "__offset")
+     .write.partitionBy("__chunk").parquet(path))
+    return path
+
+
+def read_page(spark: SparkSession, path: str, page_no: int = 1, per_page: int = PAGE_SIZE,
+              rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Rows of page ``page_no`` (1-based) of a stored index, in order. Pages past
+    the end are empty."""
+    if page_no < 1 or per_page < 1:
+        raise ValueError("page numbers and page sizes start at 1")
+    start, stop = (page_no - 1) * per_page, page_no * per_page
+    rows = spark.read.parquet(path)
+    near = rows.where(F.col("__chunk").between(start // rows_per_chunk, (stop - 1) // rows_per_chunk))
+    return (near.where((F.col("__row") >= start) & (F.col("__row") < stop))
+            .orderBy("__row").drop("__row", "__chunk"))
+
+
+def page(df: DataFrame, page_no: int = 1, per_page: int = PAGE_SIZE, order_by=KEY) -> DataFrame:
+    """One page of a table that has no index yet: builds one in the work folder
+    and reads the page from it. For more than one page keep the index."""
+    if page_no < 1 or per_page < 1:
+        raise ValueError("page numbers and page sizes start at 1")
+    if df.isEmpty():
+        return df.limit(0)
+    spark = df.sparkSession
+    return read_page(spark, build_page_index(df, work_dir(spark, "pages"), order_by), page_no, per_page)

@@ -5,8 +5,9 @@ Default: a hash split on the row key. The bucket is a pure function of
 the split — always agree, whatever the file layout, partitioning or retries.
 No shuffle, no sort: a projection and a filter in the scan stage.
 
-``random_split`` keeps ``DataFrame.randomSplit`` (seed 123, 70/30) for tables
-without a key; its rows change when the input partitioning changes.
+``random_split`` keeps ``DataFrame.randomSplit`` (seed 123, 70/30) for callers that
+ask for it; its rows change when the input partitioning changes, so the table is
+checkpointed first and both sides are cut from the same partitions.
 """
 
 from __future__ import annotations
@@ -16,14 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import split_bucket_expr
 from ..schema import KEY, SPLIT_SEED, SPLIT_WEIGHTS
+from .joins import materialize
 
 BUCKET_COL = "SPLIT_BUCKET"
 
 
-def with_split_bucket(df: DataFrame, key=KEY, column: str = BUCKET_COL) -> DataFrame:
-    return df.withColumn(column, split_bucket_expr(*key))
-
-
 def hash_split(df: DataFrame, train_percent: int = 70, key=KEY) -> tuple[DataFrame, DataFrame]:
     """(train, test): rows whose key bucket is below ``train_percent`` train."""
     bucket = split_bucket_expr(*key)
@@ -31,14 +29,7 @@ def hash_split(df: DataFrame, train_percent: int = 70, key=KEY) -> tuple[DataFra
 
 
 def random_split(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED):
-    return df.randomSplit(list(weights), seed=seed)
-
-
-def split(df: DataFrame, key=KEY, train_percent: int = 70):
-    """Hash split when the key columns are present, else the random split."""
-    if all(k in df.columns for k in key):
-        return hash_split(df, train_percent, key)
-    return tuple(random_split(df, (train_percent / 100, 1 - train_percent / 100)))
+    return materialize(df).randomSplit(list(weights), seed=seed)
 
 
 def split_label(df: DataFrame, train_percent: int = 70, key=KEY) -> DataFrame:

@@ -1,7 +1,7 @@
 """Multi-output training: one regressor per hourly label, three families.
 
-The training table is assembled once and staged (cached, or written to the
-shared work folder for long jobs), then the 24 independent fits run from a
+The training table is assembled once and staged (written to the shared work
+folder, or cached), dealt by its key to a stated number of partitions, then the 24 independent fits run from a
 small thread pool so that several MLlib jobs share the cluster at once — the
 same scheme as ``CrossValidator(parallelism=...)``. Every fit is MLlib's own
 distributed estimator; nothing is solved on the driver.
@@ -28,15 +28,18 @@ from ..schema import (
     FOREST_SEED,
     GBT_MAX_ITER,
     GBT_SEED,
+    KEY,
     LABELS,
     RIDGE_MAX_ITER,
     RIDGE_REG_PARAM,
 )
+from ..session import checkpoint_dir
 from .features import FEATURES_COL, assemble
+from .joins import materialize
 from .ridge import LinearFit, fit_ridge_moments, load_fits, save_fits
 
-# Concurrent fits when the training table spans many partitions.
-SCALE_PARALLELISM = 4
+# Fits that run at once unless the caller says otherwise.
+FIT_PARALLELISM = 4
 
 # Family → (estimator class, model class, default parameters, folder stem).
 FAMILIES = {
@@ -64,55 +67,44 @@ def _inputs(features, labels) -> list[str]:
 
 
 def training_table(train: DataFrame, labels=LABELS, features=FEATURES,
-                   stage: str | None = "cache") -> tuple[DataFrame, DataFrame | None]:
+                   stage: str | None = "checkpoint", partitions: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The inputs and the labels, staged once for all fits.
 
-    With one shared feature list the vector is assembled before staging.
-    ``stage="cache"`` persists in memory and on disk (lost blocks are
-    recomputed from lineage); ``"checkpoint"`` writes the table to the shared
-    checkpoint folder and cuts the lineage; ``None`` re-reads the input on
-    every pass. Returns (table to fit on, persisted frame to release or None).
+    Tree fits draw their samples partition by partition, so the table is dealt by
+    its key to a stated number of ``partitions`` (``spark.sql.shuffle.partitions``
+    without one) and sorted within each: the same rows, seed and number give the
+    same models whatever the file layout or the other settings. With one shared
+    feature list the vector is assembled before staging. ``stage="checkpoint"``
+    writes the table to the shared folder; ``"cache"`` persists it in memory and
+    on disk; ``None`` re-reads the input on every pass. Returns (table to fit on,
+    persisted frame to release or None).
     """
-    width = len(labels) + len(_inputs(features, labels))
-    table = train.select(*_inputs(features, labels), *labels)
+    spark = train.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n < 1:
+        raise ValueError("partitions start at 1")
+    inputs = list(dict.fromkeys([*_inputs(features, labels), *labels]))
+    key = [c for c in KEY if c in train.columns]
+    order = key + [c for c in inputs if c not in key] if len(key) < len(KEY) else key
+    rows = train.select(*dict.fromkeys([*key, *inputs]))
+    table = rows.repartition(n, *order).sortWithinPartitions(*order).select(*inputs)
     if not isinstance(features, dict):
         table = assemble(table, features).select(FEATURES_COL, *labels)
+    checkpoint_dir(spark)  # boosting cuts its lineage there
     if stage == "cache":
         cached = table.persist(StorageLevel.MEMORY_AND_DISK)
         # Fill the cache in one job before concurrent fits read it; otherwise
         # every fit thread would compute the whole lineage at once.
-        return _sized(cached, cached.count(), width), cached
+        cached.count()
+        return cached, cached
     if stage == "checkpoint":
-        from .joins import materialize
-        table = materialize(table)
-        return _sized(table, table.count(), width), None
+        return materialize(table), None
     return table, None
 
 
-def _sized(table: DataFrame, rows: int, width: int) -> DataFrame:
-    """Merge small partitions of the staged table (no shuffle) so that each
-    holds about the advisory partition size (64 MB by default). Every fit runs
-    many passes; tiny partitions make each pass pay task overhead many times.
-    The partition count only shrinks, never grows."""
-    spark = table.sparkSession
-    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    target_bytes = _bytes(target)
-    wanted = max(1, -(-rows * (8 * width + 32) // target_bytes))
-    current = table.rdd.getNumPartitions()
-    return table.coalesce(wanted) if wanted < current else table
-
-
-def _bytes(text: str) -> int:
-    text = str(text).strip().lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    if text and text[-1] in units:
-        return int(float(text[:-1]) * units[text[-1]])
-    return int(text)
-
-
 def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=FEATURES,
-              parallelism: int | str = "auto", stage: str | None = "cache",
-              solver: str = "mllib", **params) -> dict:
+              parallelism: int = FIT_PARALLELISM, stage: str | None = "checkpoint",
+              solver: str = "mllib", partitions: int | None = None, **params) -> dict:
     """Fit one ``family`` model per label; returns {label: model} in label order.
 
     ``features`` is one list for all labels, or a mapping label → list (each
@@ -123,20 +115,22 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
     instead of one per label; the fits are ``LinearFit`` objects, applied as
     expressions by the scorer. The default fits MLlib ``LinearRegression``.
 
-    ``parallelism="auto"``: a staged table of one partition means every job
-    of a fit is a single task, so one fit per core (the default parallelism)
-    runs at once; a larger table means every fit already spans the cluster and
-    each tree fit caches its own binned copy of the rows, so at most
-    ``SCALE_PARALLELISM`` fits run at once. (Measured at sf0.1: twice as many
-    fits as cores sped up GBT but slowed ridge and forest by as much.)
+    ``parallelism`` fits run at once, whatever the size of the table; each tree
+    fit holds its own binned copy of the rows, so memory bounds it. ``partitions``
+    see ``training_table``; it is kept on each model as ``fit_partitions`` and
+    saved with the models.
     """
     labels = list(labels)
     if solver == "moments":
         if family != "ridge" or isinstance(features, dict):
             raise ValueError("the moments solver fits ridge models on shared features")
+        unknown = sorted(set(params) - {"regParam"})
+        if unknown:
+            raise ValueError(f"the moments solver has no {unknown}")
         return fit_ridge_moments(train, labels, features,
                                  reg=params.get("regParam", RIDGE_REG_PARAM))
-    table, cached = training_table(train, labels, features, stage)
+    table, cached = training_table(train, labels, features, stage, partitions)
+    dealt = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
         def fit(label):
             data = table
@@ -144,16 +138,14 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
                 data = assemble(table.select(*features[label], label), features[label])
             return label, estimator(family, label, **params).fit(data)
 
-        if parallelism == "auto":
-            small = table.rdd.getNumPartitions() == 1
-            sc = table.sparkSession.sparkContext
-            parallelism = sc.defaultParallelism if small else SCALE_PARALLELISM
         workers = max(1, min(int(parallelism), len(labels)))
         if workers == 1:
             fitted = dict(map(fit, labels))
         else:
             with ThreadPoolExecutor(max_workers=workers) as pool:
                 fitted = dict(pool.map(inheritable_thread_target(fit), labels))
+        for model in fitted.values():
+            model.fit_partitions = dealt
         return {label: fitted[label] for label in labels}
     finally:
         if cached is not None:
@@ -180,6 +172,12 @@ def save_models(models: dict, root: str, family: str, overwrite: bool = True) ->
         save_fits(fits, spark, moments_path(root), overwrite)
         return [moments_path(root)]
     paths = []
+    dealt = {m.fit_partitions for m in models.values() if hasattr(m, "fit_partitions")}
+    if dealt:
+        from pyspark.sql import SparkSession
+        stem = FAMILIES[family][3]
+        notes = SparkSession.getActiveSession().createDataFrame([(max(dealt),)], "fit_partitions int").coalesce(1)
+        notes.write.mode("overwrite" if overwrite else "error").parquet(f"{root.rstrip('/')}/{stem}Model/{stem}Model_fit.parquet")
     for label, model in models.items():
         path = model_path(root, family, label)
         if overwrite:

@@ -73,7 +73,7 @@ def main(sf_dir: str = "/root/testdata/sf0.1") -> None:
         "scoring (test rows → predictions, relative errors)":
             wide_result(predict_hours(test, models, 4, keep=list(RESULT_CONTEXT)),
                         list(models)),
-        "page 3 (top-k)": page(cleaned, 3),
+        "page 3": page(cleaned, 3),
         "page count": page_count(cleaned),
     }
     print(f"# Physical plans ({sf_dir}, local[8], AQE on; initial plans)\n")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from ..operators.clean import clean, complete_rows
 from ..operators.score import error_sums, hour_of, predict_hours, wide_result
 from ..operators.split import hash_split, random_split
-from ..operators.train import fit_hours, load_models, save_models
+from ..operators.train import FIT_PARALLELISM, fit_hours, load_models, save_models
 from ..schema import KEY, LABELS, RESULT_CONTEXT
 from ..sources.files import publish, read_clean_csv, read_raw_csv, write_table
 
@@ -32,10 +32,8 @@ def clean_table(raw: DataFrame, carry=ID_CARRY) -> DataFrame:
 def makedata(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
              carry=ID_CARRY) -> DataFrame:
     """The cleaning request end to end: raw CSV (declared schema) → clean →
-    write under ``dst``, replacing what is there. Parquet by default (one file
-    per task); ``fmt="csv"`` publishes one CSV file with a header as the
-    reference does — for small exports, since one task writes it. Returns the
-    written table."""
+    write under ``dst``, replacing what is there, as Parquet or CSV part files
+    (one per task). Returns the written table."""
     cleaned = clean_table(read_raw_csv(spark, src), carry)
     if fmt == "csv":
         publish(cleaned, dst, "csv")
@@ -47,18 +45,24 @@ def makedata(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
 def model_inputs(cleaned: DataFrame, split: str = "hash") -> tuple[DataFrame, DataFrame]:
     """(train, test) complete rows of the cleaned table. ``split="hash"`` splits
     on the row key (stable across jobs); ``"random"`` is ``randomSplit`` with
-    weights 70/30 and seed 123, whose rows depend on the input partitioning
-    (also used when the table has no key)."""
+    weights 70/30 and seed 123, whose rows depend on the input partitioning. A
+    table without the key has no hash split: ask for ``"random"`` and keep the
+    sides, since another job would draw them anew."""
+    if split not in ("hash", "random"):
+        raise ValueError(f"unknown split {split!r}")
     rows = complete_rows(cleaned)
-    if split == "random" or not all(k in rows.columns for k in KEY):
+    if split == "random":
         train, test = random_split(rows)
         return train, test
+    missing = [k for k in KEY if k not in rows.columns]
+    if missing:
+        raise ValueError(f"the hash split needs {missing}; pass split='random' for a table without the key")
     return hash_split(rows)
 
 
 def train_models(cleaned: DataFrame, family: str = "ridge", labels=LABELS,
-                 model_root: str | None = None, parallelism: int | str = "auto",
-                 stage: str = "cache", split: str = "hash", **params) -> dict:
+                 model_root: str | None = None, parallelism: int = FIT_PARALLELISM,
+                 stage: str = "checkpoint", split: str = "hash", **params) -> dict:
     train, _ = model_inputs(cleaned, split)
     models = fit_hours(train, family, labels, parallelism=parallelism, stage=stage, **params)
     if model_root:
@@ -71,7 +75,8 @@ class PredictReport:
     family: str
     rows: int
     rmse: dict
-    seconds: float = 0.0
+    seconds: float = 0.0  # scoring and writing, models loaded
+    load_seconds: float = 0.0
 
 
 def scored_test_rows(cleaned: DataFrame, models: dict, digits: int | None = 4,
@@ -92,6 +97,7 @@ def predict(cleaned: DataFrame, models: dict | None = None, family: str = "ridge
     labels = list(models) if models else list(LABELS)
     if models is None:
         models = load_models(model_root, family, labels, solver=solver)
+    loaded = time.perf_counter()
     scored = scored_test_rows(cleaned, models, digits, split)
     obs = Observation(f"rmse_{family}")
     observed = scored.observe(obs, *error_sums(labels))
@@ -104,4 +110,4 @@ def predict(cleaned: DataFrame, models: dict | None = None, family: str = "ridge
     n = metrics["rows"]
     rmse = {label: ((metrics[f"sse_{label}"] or 0.0) / n) ** 0.5 if n else None for label in labels}
     ordered = dict(sorted(rmse.items(), key=lambda kv: hour_of(kv[0])))
-    return PredictReport(family, n, ordered, round(time.perf_counter() - start, 3))
+    return PredictReport(family, n, ordered, round(time.perf_counter() - loaded, 3), round(loaded - start, 3))

@@ -39,8 +39,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh folder
-    under the system temporary directory is created and registered.
+    Read from the session. Only a local master, whose executors are this very
+    process, may leave it unset: a fresh temporary folder is then registered.
+    On any other master a missing setting is an error, since executors could
+    not see a folder of the driver's own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="loadcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,6 +1,9 @@
 """File sources and sinks.
 
-* ``read_table`` — CSV (header, declared schema, no inference pass) or Parquet.
+* ``read_table`` — CSV (header, no inference pass) or Parquet. With a declared
+  schema CSV columns are taken by their header names, whatever their order;
+  columns beyond the schema stay as strings, a declared one that the header
+  lacks is an error, and so is a value that does not fit its type.
 * ``write_table`` — overwrite or append, Parquet by default. A single output
   file (``single_file=True``) is for small exports only: it funnels the last
   stage through one task.
@@ -11,20 +14,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import RAW_SCHEMA, clean_schema
 
 
+def _strict(column: Column, field: T.StructField) -> Column:
+    """The text as the declared type; a text that does not fit fails the job."""
+    if isinstance(field.dataType, T.StringType):
+        return column.alias(field.name)
+    value = column.try_cast(field.dataType)
+    bad = column.isNotNull() & value.isNull()
+    message = F.concat(F.lit(f"{field.name}: not a {field.dataType.simpleString()}: "), column)
+    return F.when(bad, F.raise_error(message).cast(field.dataType)).otherwise(value).alias(field.name)
+
+
+def by_header(rows: DataFrame, schema: T.StructType, required=None) -> DataFrame:
+    """Text columns as the declared ones, in declared order, then the others.
+    ``required`` (all declared ones by default) must be in the header."""
+    missing = [f for f in (schema.fieldNames() if required is None else required) if f not in rows.columns]
+    if missing:
+        raise ValueError(f"the header lacks {missing}")
+    declared = [_strict(F.col(f"`{f.name}`"), f) if f.name in rows.columns
+                else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    names = set(schema.fieldNames())
+    return rows.select(*declared, *[F.col(f"`{c}`") for c in rows.columns if c not in names])
+
+
+def csv_options(reader):
+    """A header in every file, the same in all files of a read; broken rows fail."""
+    return reader.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None) -> DataFrame:
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
-        if schema is not None:
-            return reader.schema(schema).csv(path)
-        # Without a schema every column is read as string: no inference pass.
-        return reader.csv(path)
+        rows = csv_options(spark.read).csv(path)  # text columns: no inference pass
+        return rows if schema is None else by_header(rows, schema)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -60,7 +88,7 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     write_table(df, path, fmt, mode="append")
 
 
-def publish(df: DataFrame, uri: str, fmt: str = "csv", single_file: bool = True) -> None:
+def publish(df: DataFrame, uri: str, fmt: str = "csv", single_file: bool = False) -> None:
     """Replace whatever is published under ``uri`` by ``df``."""
     write_table(df, uri, fmt, mode="overwrite", single_file=single_file)
 
@@ -69,7 +97,7 @@ def ingest(spark: SparkSession, src: str, dst: str, fmt: str = "csv") -> DataFra
     """Land a raw meter-day upload as Parquet and return the landed table."""
     raw = read_table(spark, src, fmt, RAW_SCHEMA if fmt == "csv" else None)
     missing = [c for c in ("MP_ID", "STAT_CYCLE", "AREA_NO") if c not in raw.columns]
-    if missing:
+    if missing:  # a CSV without them has failed already, by its own header
         raise ValueError(f"upload lacks key columns {missing}")
     write_table(raw, dst, "parquet", mode="overwrite")
     return spark.read.parquet(dst)

@@ -44,11 +44,12 @@ def with_lags(loads: DataFrame) -> DataFrame:
     """Add DLOAD*, WLOAD*, MLOAD*: the loads n calendar days earlier, or null."""
     day = F.unix_date("STAT_CYCLE")
     base = Window.partitionBy("MP_ID").orderBy(day)
-    cols = [F.col(c) for c in loads.columns]
-    for names, n in LAG_DAYS.items():
-        frame = base.rangeBetween(-n, -n)
-        cols += [F.first(src).over(frame).alias(dst) for src, dst in zip(LABELS, names)]
-    return loads.select(*cols)
+    # One function per frame: the day's loads travel as one struct.
+    day_loads = F.struct(*LABELS)
+    seen = loads.select("*", *[F.first(day_loads).over(base.rangeBetween(-n, -n)).alias(f"_{n}")
+                               for n in LAG_DAYS.values()])
+    lags = [F.col(f"_{n}")[src].alias(dst) for names, n in LAG_DAYS.items() for src, dst in zip(LABELS, names)]
+    return seen.select(*loads.columns, *lags)
 
 
 def _context(mp: Column, dd: Column) -> list[Column]:

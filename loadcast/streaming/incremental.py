@@ -8,8 +8,11 @@
   per-hour result append). Scoring is a row-wise projection, so it needs no
   state; RMSE stays a batch report over the written result.
 
-Both use a checkpoint location in the shared folder, so a restarted query
-resumes where it stopped and every file is processed exactly once.
+Both keep their checkpoint beside the result, in ``<dst>/_checkpoint``, unless
+told another place, so a restarted query resumes where it stopped and every file
+is processed exactly once. CSV uploads are read by header name as in the batch
+form: the header of the files that are there fixes the columns of the stream, a
+later file with another header fails it, and so does a broken row.
 ``available_now=True`` processes what is there and stops (used by tests and
 scheduled runs); ``False`` keeps the query running.
 """
@@ -23,14 +26,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.clean import complete_rows
 from ..operators.score import predict_hours, wide_result
 from ..schema import RAW_SCHEMA, RESULT_CONTEXT
-from ..session import work_dir
+from ..sources.files import by_header, csv_options
 
 
-def _start(df, dst: str, checkpoint: str | None, available_now: bool, name: str):
-    spark = df.sparkSession
+def _start(df, dst: str, checkpoint: str | None, available_now: bool):
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("path", dst)
-              .option("checkpointLocation", checkpoint or work_dir(spark, f"{name}-ckpt")))
+              .option("checkpointLocation", checkpoint or f"{dst.rstrip('/')}/_checkpoint"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()
@@ -39,9 +41,10 @@ def _start(df, dst: str, checkpoint: str | None, available_now: bool, name: str)
 def ingest_stream(spark: SparkSession, src_dir: str, dst_dir: str,
                   checkpoint: str | None = None, available_now: bool = True,
                   max_files_per_trigger: int = 1000) -> StreamingQuery:
-    raw = (spark.readStream.schema(RAW_SCHEMA).option("header", True)
-           .option("maxFilesPerTrigger", max_files_per_trigger).csv(src_dir))
-    return _start(raw, dst_dir, checkpoint, available_now, "ingest")
+    header = csv_options(spark.read).csv(src_dir).schema
+    rows = (csv_options(spark.readStream).schema(header)
+            .option("maxFilesPerTrigger", max_files_per_trigger).csv(src_dir))
+    return _start(by_header(rows, RAW_SCHEMA), dst_dir, checkpoint, available_now)
 
 
 def score_stream(spark: SparkSession, src_dir: str, schema: T.StructType, models: dict,
@@ -51,4 +54,4 @@ def score_stream(spark: SparkSession, src_dir: str, schema: T.StructType, models
     keep = [c for c in ("STAT_CYCLE",) + tuple(id_cols) if c in schema.fieldNames()]
     scored = predict_hours(rows, models, digits, keep=keep)
     result = wide_result(scored, list(models), keep)
-    return _start(result, dst_dir, checkpoint, available_now, "score")
+    return _start(result, dst_dir, checkpoint, available_now)

@@ -108,7 +108,8 @@ def imputed_cte(round_digits: int | None = None, carry=()) -> str:
             f"LEFT JOIN means m ON d.AREA_NO = m.AREA_NO)")
 
 
-TRADE_SQL = ("TRY_CAST(CASE WHEN TRADE_NO = '31B0' THEN '3000' ELSE TRADE_NO END AS INTEGER)")
+TRADE_SQL = (r"TRY_CAST(regexp_extract(CASE WHEN TRADE_NO = '31B0' THEN '3000' ELSE TRADE_NO END, "
+             r"'^\s*([+-]?\d+)(\.\d*)?\s*$', 1) AS INTEGER)")
 
 
 def cleaned_cte(round_digits: int | None = None, carry=()) -> str:
@@ -272,6 +273,21 @@ def oracle_queries() -> dict[str, str]:
     q["page_count"] = cleaned_keyed + (
         "SELECT count(*) AS total_rows, CAST(ceil(count(*) / 20) AS BIGINT) AS total_pages "
         "FROM cleaned")
+    q["csv_reordered"] = md + f"SELECT {raw_cols}, 'x' AS REMARK FROM meter_day"
+    q["stream_ingest_restart"] = q["meter_day"]
+    q["trade_codes"] = (
+        f"SELECT event_id, {TRADE_SQL} AS TRADE_NO FROM (SELECT event_id, "
+        "['3100', '3100.0', ' 31 ', '31B0', '31C0', '', '-7.9'][event_id % 7 + 1] AS TRADE_NO FROM events)")
+    q["random_split_keys"] = pipe + "SELECT MP_ID, STAT_CYCLE, count(*) AS times FROM complete GROUP BY ALL"
+    rounded = ", ".join(f"{_r(c)} AS {c}" if c in IMPUTED else c for c in clean_columns(carry=("STAT_CYCLE",)))
+    q["page_tied_key"] = pipe + f"SELECT {rounded} FROM (SELECT * FROM cleaned ORDER BY AREA_NO, MP_ID, STAT_CYCLE LIMIT 20 OFFSET 120)"
+    cells = ("SELECT MP_ID, STAT_CYCLE, " + ", ".join(f"{_r(f'm{h}')} AS TLOAD{h}" for h in (0, 8, 16))
+             + " FROM test JOIN (SELECT AREA_NO, HOLIDAY, ELECTRO_TYPE, "
+             + ", ".join(f"avg(LOAD{h}) AS m{h}" for h in (0, 8, 16))
+             + " FROM train GROUP BY ALL) USING (AREA_NO, HOLIDAY, ELECTRO_TYPE)")
+    q["forest_cells"] = q["gbt_cells"] = pipe + cells
+    # A loaded model predicts what the saved one does.
+    q["model_save_load"] = "\nUNION ALL\n".join(f"SELECT 'LOAD{h}' AS label, 0e0 AS max_abs_diff" for h in HOURS)
     return q
 
 

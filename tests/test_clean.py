@@ -50,11 +50,11 @@ def test_nan_is_kept_by_impute_and_dropped_by_complete_rows(spark):
 
 
 def test_trade_codes(spark):
-    rows = [("31B0",), ("311",), ("31C0",), ("31.0",), ("",), (None,)]
+    rows = [("31B0",), ("311",), ("31C0",), ("31.0",), ("",), (None,), (" 31 ",), ("3100.7",), ("-2",)]
     df = spark.createDataFrame(rows, "TRADE_NO string")
     got = [r.TRADE_NO for r in recode_trade(df).collect()]
-    # 31B0 → 3000; other non-numeric codes (and '31.0' under try_cast) → null.
-    assert got == [3000, 311, None, None, None, None]
+    # 31B0 → 3000; a decimal part and space are dropped; other codes → null.
+    assert got == [3000, 311, None, 31, None, None, 31, 3100, -2]
     assert dict(recode_trade(df).dtypes)["TRADE_NO"] == "int"
     # A numeric column has nothing to recode.
     num = spark.createDataFrame([(311,), (None,)], "TRADE_NO int")

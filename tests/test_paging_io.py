@@ -5,8 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from loadcast.operators import paging
-from loadcast.operators.paging import page, page_count
+from loadcast.operators.paging import build_page_index, page, page_count, read_page
 from loadcast.operators.train import fit_hours
 from loadcast.plans.pipeline import model_inputs
 from loadcast.schema import RAW_SCHEMA
@@ -30,13 +29,61 @@ def test_page_edges(spark, n):
         page(df, 0, 20, ["id"])
 
 
-def test_indexed_pages_equal_top_k_pages(spark, monkeypatch):
+def test_indexed_pages_across_chunks(spark, tmp_root):
     df = spark.range(0, 537, 1, 5).select(((F.col("id") * 7919) % 537).alias("k"))
-    top = [page(df, p, 20, ["k"]).collect() for p in (1, 3, 27, 28)]
-    monkeypatch.setattr(paging, "TOP_K_LIMIT", 0)
-    deep = [page(df, p, 20, ["k"]).collect() for p in (1, 3, 27, 28)]
-    assert top == deep
-    assert [r.k for r in deep[2]] == list(range(520, 537))
+    path = build_page_index(df, f"{tmp_root}/page_index", ["k"], rows_per_chunk=33)
+    pages = [[r.k for r in read_page(spark, path, p, 20, 33).collect()] for p in range(1, 29)]
+    assert [k for p in pages for k in p] == list(range(537))
+    assert pages == [[r.k for r in page(df, p, 20, ["k"]).collect()] for p in (1, 2)] + pages[2:]
+    plan = read_page(spark, path, 3, 20, 33)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(__chunk" in plan and "TakeOrderedAndProject" not in plan
+
+
+def test_pages_on_a_tied_key_hold_every_row_once(spark, tmp_root):
+    df = spark.range(2000).select((F.col("id") % 2).alias("tie"), F.col("id"))
+    path = build_page_index(df, f"{tmp_root}/tied_index", ["tie"], rows_per_chunk=150)
+    rows = [r.id for p in range(1, 101) for r in read_page(spark, path, p, 20, 150).collect()]
+    assert len(rows) == 2000 and len(set(rows)) == 2000
+
+
+def test_csv_is_read_by_header(spark, tmp_root):
+    raw = meter_day(spark, SF001).limit(30).cache()
+    swapped = raw.select(*reversed(raw.columns), F.lit("kept").alias("REMARK"))
+    write_table(swapped, f"{tmp_root}/swapped", "csv")
+    back = read_raw_csv(spark, f"{tmp_root}/swapped")
+    assert back.columns == raw.columns + ["REMARK"]
+    assert back.drop("REMARK").exceptAll(raw).count() == 0 and back.where("REMARK = 'kept'").count() == 30
+    write_table(raw.drop("MP_ID"), f"{tmp_root}/no_key", "csv")
+    for read in (lambda: ingest(spark, f"{tmp_root}/no_key", f"{tmp_root}/never"),
+                 lambda: ingest_stream(spark, f"{tmp_root}/no_key", f"{tmp_root}/never_s")):
+        with pytest.raises(ValueError, match="MP_ID"):
+            read()
+    broken = raw.withColumn("WINDSPEED", F.lit("fast"))
+    write_table(broken, f"{tmp_root}/broken", "csv")
+    with pytest.raises(Exception, match="WINDSPEED"):
+        read_raw_csv(spark, f"{tmp_root}/broken").collect()
+    with pytest.raises(Exception, match="WINDSPEED"):
+        ingest_stream(spark, f"{tmp_root}/broken", f"{tmp_root}/never_b").awaitTermination(120)
+
+
+def test_work_folder_must_be_shared_off_a_local_master(spark):
+    from loadcast import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
 
 
 def test_csv_roundtrip_publish_append_ingest(spark, tmp_root):
@@ -49,6 +96,8 @@ def test_csv_roundtrip_publish_append_ingest(spark, tmp_root):
     pub = f"{tmp_root}/published"
     publish(raw.limit(5), pub)
     publish(raw.limit(3), pub)
+    assert any(f.endswith(".csv") for f in os.listdir(pub))
+    publish(raw.limit(3), pub, single_file=True)
     assert len([f for f in os.listdir(pub) if f.endswith(".csv")]) == 1
     assert read_raw_csv(spark, pub).count() == 3
     hist = f"{tmp_root}/history"
@@ -97,15 +146,16 @@ def test_makedata_flow_and_split_options(spark, tmp_root):
     write_table(meter_day(spark, SF001), src, "csv")
     out = makedata(spark, src, f"{tmp_root}/makedata_csv", fmt="csv")
     assert out.schema == clean_schema(("STAT_CYCLE",))
-    assert len([f for f in os.listdir(f"{tmp_root}/makedata_csv") if f.endswith(".csv")]) == 1
     pq = makedata(spark, src, f"{tmp_root}/makedata_pq")
     assert pq.count() == out.count() == meter_day(spark, SF001).count()
     h_train, h_test = model_inputs(pq)
     r_train, r_test = model_inputs(pq, "random")
     assert h_train.count() + h_test.count() == r_train.count() + r_test.count()
-    # Without the key (the reference's 58-column layout) the random split is used.
+    # Without the key the hash split is refused; the caller may ask for a random one.
     no_key = pq.drop("STAT_CYCLE")
-    a, b = model_inputs(no_key)
+    with pytest.raises(ValueError, match="STAT_CYCLE"):
+        model_inputs(no_key)
+    a, b = model_inputs(no_key, "random")
     assert a.count() + b.count() == h_train.count() + h_test.count()
 
 
@@ -117,16 +167,16 @@ def test_stream_ingest_restart_processes_each_file_once(spark, tmp_root):
     first = raw.where(F.col("MP_ID") % 2 == 0)
     second = raw.where(F.col("MP_ID") % 2 == 1)
     write_table(first, f"{run}/src/batch1", "csv")
-    ckpt, dst = f"{run}/ckpt", f"{run}/landed"
-    ingest_stream(spark, f"{run}/src/*", dst, checkpoint=ckpt).awaitTermination(120)
+    dst = f"{run}/landed"  # the checkpoint lies beside the result
+    ingest_stream(spark, f"{run}/src/*", dst).awaitTermination(120)
     n1 = spark.read.parquet(dst).count()
     assert n1 == first.count()
     # Restart with nothing new: no file is read twice.
-    ingest_stream(spark, f"{run}/src/*", dst, checkpoint=ckpt).awaitTermination(120)
+    ingest_stream(spark, f"{run}/src/*", dst).awaitTermination(120)
     assert spark.read.parquet(dst).count() == n1
     # A new upload lands: only it is added.
     write_table(second, f"{run}/src/batch2", "csv")
-    ingest_stream(spark, f"{run}/src/*", dst, checkpoint=ckpt).awaitTermination(120)
+    ingest_stream(spark, f"{run}/src/*", dst).awaitTermination(120)
     landed = spark.read.schema(RAW_SCHEMA).parquet(dst)
     assert landed.count() == raw.count()
     assert landed.exceptAll(raw).count() == 0 and raw.exceptAll(landed).count() == 0
