@@ -56,11 +56,14 @@ def main() -> None:
     step("clean", lambda: write_table(clean_table(raw), clean_path))
     cleaned = spark.read.parquet(clean_path)
     parallel = int(os.environ.get("BENCH_PARALLEL_FITS", cpus))
+    # A stated number, recorded with the models: 40,000 rows are one partition.
+    partitions = int(os.environ.get("BENCH_FIT_PARTITIONS", "1"))
     for name in families:
         fam, solver = ("ridge", "moments") if name == "ridge_moments" else (name, "mllib")
 
         def train(fam=fam, solver=solver, name=name):
-            models = train_models(cleaned, fam, LABELS, parallelism=parallel, solver=solver)
+            models = train_models(cleaned, fam, LABELS, parallelism=parallel, solver=solver,
+                                  partitions=partitions)
             save_models(models, f"{root}/models_{name}", fam)
             return models
         models = step(f"{name}_train", train)
