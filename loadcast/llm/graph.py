@@ -15,11 +15,10 @@ def components(edges: DataFrame) -> DataFrame:
     Every id points at the smallest id it knows; each round hooks the pointers of
     both ends of every edge to the smaller one and then replaces the edges by
     edges between pointers. Rounds grow with the logarithm of the longest path;
-    each is two group-bys (combined before the shuffle) and joins on ids that may
-    be split when skewed, and is written to the shared checkpoint folder.
+    each is one group-by (combined before the shuffle), a distinct and joins on ids
+    that may be split when skewed; its pointers and edges are written to the shared
+    checkpoint folder.
     """
-    spark = edges.sparkSession
-    named = spark.createDataFrame([], "id long, component long")
     live = edges.select(F.least("a", "b").cast("long").alias("a"),
                         F.greatest("a", "b").cast("long").alias("b")).where("a is not null and b is not null")
     ids = live.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -33,8 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
         step = low.alias("p").join(low.alias("q"), F.col("p.low") == F.col("q.x"), "left").select(
             F.col("p.x").alias("x"), F.coalesce("q.low", "p.low").alias("to"))
         step = cut(step)
-        named = cut(named.join(step, named["component"] == step["x"], "left").select(
-            "id", F.coalesce("to", "component").alias("component")))
+        # Only planned here: the steps lie in the shared folder, one join each.
+        own = step.select(F.col("x").alias("own"), F.col("to").alias("up"))
+        named = named.join(own, F.col("component") == F.col("own"), "left").select(
+            "id", F.coalesce("up", "component").alias("component"))
         s1, s2 = (step.select(F.col("x").alias(f"x{k}"), F.col("to").alias(f"to{k}")) for k in (1, 2))
         moved = (live.join(s1, F.col("a") == F.col("x1"), "left").join(s2, F.col("b") == F.col("x2"), "left")
                  .select(F.coalesce("to1", "a").alias("a"), F.coalesce("to2", "b").alias("b")))
