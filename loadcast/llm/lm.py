@@ -53,7 +53,7 @@ CLASSES = GROUPS * MEMBERS
 TAIL = 64
 WIDTH = 16
 STEP = 12
-BATCH = 512
+BATCH = 1024
 RATE = 0.03
 SEED = 20
 LANES = 32
@@ -77,6 +77,23 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
+class Lookup:
+    """A number for each word, from its hash, remembered within a bound."""
+
+    def __init__(self, of_hash, kind):
+        self.of_hash, self.kind, self.known = of_hash, kind, {}
+
+    def values_of(self, words: list[bytes]) -> np.ndarray:
+        try:
+            return np.fromiter(map(self.known.__getitem__, words), self.kind, len(words))
+        except KeyError:
+            if len(self.known) > HELD_WORDS:
+                self.known.clear()
+            new = list(set(words).difference(self.known))
+            self.known.update(zip(new, map(self.of_hash, word_hashes(new).tolist())))
+            return np.fromiter(map(self.known.__getitem__, words), self.kind, len(words))
+
+
 class Subwords:
     """Ids of words, remembered per Python worker."""
 
@@ -438,7 +455,7 @@ def _score(path: str | None, lexicon, weights, head, end: tuple[int, float]):
     """Per document: tokens, head words known, their base score, model score."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub, p, lex, base = Subwords.load(path), shaped(weights.value), lexicon.value, head.value
-        looked: dict[bytes, float] = {}
+        looked = Lookup(lambda h: base.get(h, 0.0), np.float64)  # 0 for a word outside the head
         for batch in batches:
             texts = batch.column("text")
             tokens, known, sums, scores = [], [], [], np.zeros(len(texts))
@@ -451,14 +468,10 @@ def _score(path: str | None, lexicon, weights, head, end: tuple[int, float]):
 
             for i, text in enumerate(texts):
                 words = words_of(text.as_py())
-                if len(looked) > HELD_WORDS:
-                    looked.clear()
-                new = list(set(words).difference(looked))
-                looked.update(zip(new, (base.get(h, 0.0) for h in word_hashes(new).tolist())))
-                values = [v for v in map(looked.__getitem__, words) if v]
+                values = looked.values_of(words)
                 tokens.append(len(words) + 1)
-                known.append(len(values) + end[0])
-                sums.append(math.fsum(values) + end[1])
+                known.append(int(np.count_nonzero(values)) + end[0])
+                sums.append(float(values.sum()) + end[1])
                 held.append(sub.ids(words))
                 n += len(held[-1])
                 if n >= 200_000:
@@ -486,7 +499,7 @@ def _rare(head, buckets: int):
         held: list[np.ndarray] = []
         docs: list[int] = []
         rows: list[int] = []
-        looked: dict[bytes, int] = {}
+        looked = Lookup(lambda h: 0 if h in base else h, np.int64)  # 0 for a word of the head
         n = 0
 
         def send() -> pa.RecordBatch:
@@ -506,12 +519,7 @@ def _rare(head, buckets: int):
         for batch in batches:
             for doc, row, text in zip(batch.column("doc").to_pylist(), batch.column("row").to_pylist(), batch.column("text")):
                 words = words_of(text.as_py())
-                if len(looked) > HELD_WORDS:
-                    looked.clear()
-                new = list(set(words).difference(looked))
-                # 0 stands for a word of the head.
-                looked.update(zip(new, (0 if h in base else h for h in word_hashes(new).tolist())))
-                key = np.fromiter(map(looked.__getitem__, words), np.int64, len(words))
+                key = looked.values_of(words)
                 held.append(key[key != 0])
                 docs.append(doc)
                 rows.append(row)
