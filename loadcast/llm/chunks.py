@@ -1,23 +1,30 @@
 """Substring dedup by content-defined chunking.
 
-A gear rolling hash runs over the bytes of every text; a chunk ends behind a
-white-space byte where the hash meets a mask, so cuts depend on the last 32 bytes
-alone and fall at the same places after an insertion. Chunks are identified by
-digest; the first holder of a digest, by (doc_id, row digest, offset), keeps it,
-and every other occurrence is a duplicate. Runs of neighbouring duplicate chunks
-of ``MIN_RUN`` bytes or more are removed from the text; shorter ones stay, so a
-stock phrase does not cut a document up.
+A gear rolling hash runs over the bytes of every text; a chunk ends on a
+character's border where the hash meets a mask, so cuts depend on the last 32 bytes
+alone and fall at the same places after an insertion, in any script. Chunks are
+identified by digest; the first holder of a digest, by (doc_id, row digest, offset),
+keeps it, and every other occurrence is a duplicate. A passage seldom starts and
+ends with a chunk: with ``to_ends`` both ends of a run of neighbouring duplicate
+chunks grow as far as the bytes beyond equal the first holder's: ``BEFORE`` bytes at
+most in front, where the cuts of two texts may take some chunks to fall together, and
+the next chunk behind, since from a common cut on they part where the texts part. Runs of ``MIN_RUN`` bytes or more are removed from the text; shorter
+ones stay, so a stock phrase does not cut a document up. Every byte removed stands
+at an earlier place too.
 
 Plan: one pass cuts and digests. Each task first reduces its chunks to one holder
 per digest (what is not the first in its task is a duplicate for certain and goes
 straight to its document), so a passage that every document holds sends one
 holder per task. Holders travel in packed columns, a row per (task, bucket of
-digests), and each bucket is settled in numpy. Duplicate offsets are collected
-per document and joined to the texts.
+digests), and each bucket is settled in numpy. The chunks of repeated digests are
+collected per document and joined to the texts. For the ends, each run sends the
+bytes beyond it, keyed by the digest of its end chunk, and the first holders of the
+digests so asked for send the bytes around them; these joins are Spark's own, which
+splits a digest that many documents hold. The texts are shuffled once for all reads.
 
 Rows: null or empty text has no chunks and stays null or empty. Rows equal in
 ``doc_id`` and text count as one holder and are treated alike; a null ``doc_id``
-comes last in the order of holders. Text without white space is cut at
+comes last in the order of holders. Where no hash meets the mask, text is cut at
 ``MAX_CHUNK`` bytes, on a character's border. Extra columns pass in ``dedup``.
 """
 
@@ -30,21 +37,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.store import shuffle_partitions
+from loadcast.llm.store import cut, shuffle_partitions
 from loadcast.llm.text import digest, fresh
 
 MIN_CHUNK = 24
 MAX_CHUNK = 256
-#: One in ``MASK + 1`` white-space bytes ends a chunk.
-MASK = 3
+#: One in ``MASK + 1`` character borders ends a chunk.
+MASK = 15
 MIN_RUN = 100
+#: Bytes a run can grow in front.
+BEFORE = 2 * MAX_CHUNK
 #: Chunks a task holds before it sends its holders on.
 HELD_CHUNKS = 400_000
 NO_ID = np.iinfo(np.int64).max
 
 _GEAR = np.random.Generator(np.random.PCG64(0x6EA4)).integers(0, 2**32, 256, dtype=np.uint32)
-_WHITE = np.zeros(256, bool)
-_WHITE[[32, 9, 10, 11, 12, 13]] = True
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -65,7 +72,8 @@ def cut_points(data: bytes) -> list[int]:
     if not n:
         return []
     raw = np.frombuffer(data, np.uint8)
-    marked = _WHITE[raw] & ((gear(raw) >> np.uint32(24)) & np.uint32(MASK) == 0)
+    marked = (gear(raw) >> np.uint32(24)) & np.uint32(MASK) == 0
+    marked[:-1] &= raw[1:] & 0xC0 != 0x80
     ends, start = [], 0
     for stop in [*(np.flatnonzero(marked) + 1).tolist(), n]:
         while stop - start > MAX_CHUNK:
@@ -80,28 +88,30 @@ def cut_points(data: bytes) -> list[int]:
     return ends
 
 
-_PACKED = "bucket int, hi binary, lo binary, doc binary, row binary, at binary"
-_COLUMNS = (("hi", "<u8"), ("lo", "<u4"), ("doc", "<i8"), ("row", "<i8"), ("at", "<u4"))
+_PACKED = "bucket int, known boolean, hi binary, lo binary, doc binary, row binary, at binary, size binary, twice binary"
+_COLUMNS = (("hi", "<u8"), ("lo", "<u4"), ("doc", "<i8"), ("row", "<i8"), ("at", "<u4"),
+            ("size", "u1"), ("twice", "?"))
+_MARKS = "doc long, row long, at int, stop int, hi long, lo int, first boolean"
 
 
 def _pack(bucket: np.ndarray, columns: list[np.ndarray], duplicate: bool) -> pa.RecordBatch:
-    """A row per bucket, its columns as bytes. Known duplicates have no digest."""
+    """A row per bucket, its columns as bytes; ``duplicate`` if known to be duplicates."""
     order = np.argsort(bucket, kind="stable")
     names, first = np.unique(bucket[order], return_index=True)
     edges = [*first.tolist(), len(bucket)]
-    arrays = [pa.array(names, pa.int32())]
-    for k, column in enumerate(columns):
+    arrays = [pa.array(names, pa.int32()), pa.array([duplicate] * len(names), pa.bool_())]
+    for column in columns:
         sorted_column = column[order]
-        arrays.append(pa.array([b"" if duplicate and k < 2 else sorted_column[a:b].tobytes()
-                                for a, b in zip(edges, edges[1:])], pa.binary()))
-    return pa.RecordBatch.from_arrays(arrays, ["bucket", *[c for c, _ in _COLUMNS]])
+        arrays.append(pa.array([sorted_column[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()))
+    return pa.RecordBatch.from_arrays(arrays, ["bucket", "known", *[c for c, _ in _COLUMNS]])
 
 
-def _settle(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of the first holder of each digest, and of all others."""
-    hi, lo, doc, row, at = columns
+def _settle(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Indices of the first holder of each digest, and of all others; for each first
+    holder whether its digest is met at another place."""
+    hi, lo, doc, row, at, _, twice = columns
     order = np.lexsort((at, row, doc, lo, hi))
-    h, low, d, r, a = (c[order] for c in columns)
+    h, low, d, r, a = (c[order] for c in (hi, lo, doc, row, at))
     new = np.ones(len(order), bool)
     new[1:] = (h[1:] != h[:-1]) | (low[1:] != low[:-1])
     # The same row met twice (a repeated row) is not a second occurrence.
@@ -110,23 +120,28 @@ def _settle(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     group = np.cumsum(new) - 1
     begin = np.flatnonzero(new)[group]
     as_first = (d == d[begin]) & (r == r[begin]) & (a == a[begin])
-    return order[new], order[~new & ~same & ~as_first]
+    others = ~new & ~same & ~as_first
+    repeated = np.zeros(int(new.sum()), bool)
+    repeated[group[others | twice[order]]] = True
+    return order[new], order[others], repeated
 
 
 def _holders(buckets: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        held: list[list] = [[], [], [], []]
+        held: list[list] = [[], [], [], [], []]
         digests: list[bytes] = []
 
         def send() -> Iterator[pa.RecordBatch]:
             both = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
             columns = [both[:, 0], (both[:, 1] & 0xFFFFFFFF).astype("<u4"),
                        np.repeat(np.array(held[0], "<i8"), held[2]),
-                       np.repeat(np.array(held[1], "<i8"), held[2]), np.array(held[3], "<u4")]
-            first, rest = _settle(columns)
-            yield _pack((columns[0][first] % buckets).astype(np.int32), [c[first] for c in columns], False)
+                       np.repeat(np.array(held[1], "<i8"), held[2]), np.array(held[3], "<u4"),
+                       np.array(held[4], "u1"), np.zeros(len(both), bool)]
+            first, rest, repeated = _settle(columns)
+            yield _pack((columns[0][first] % buckets).astype(np.int32),
+                        [*[c[first] for c in columns[:-1]], repeated], False)
             if len(rest):
                 yield _pack((columns[3][rest] % buckets).astype(np.int32), [c[rest] for c in columns], True)
             digests.clear()
@@ -143,6 +158,7 @@ def _holders(buckets: int):
                 for stop in cut_points(data):
                     digests.append(xxhash.xxh3_128_digest(data[start:stop]))
                     held[3].append(start)
+                    held[4].append(stop - start - 1)  # up to 255
                     start = stop
                 n = len(digests) - seen
                 held[0].append(NO_ID if doc is None else doc)
@@ -156,78 +172,202 @@ def _holders(buckets: int):
     return task
 
 
-def _duplicates(group: pa.Table) -> pa.Table:
-    """(doc, row, at) of the duplicates of one bucket of digests."""
+def _repeated(group: pa.Table) -> pa.Table:
+    """The chunks of one bucket whose digest is met at several places."""
     def joined(name: str, kind: str, known: bool) -> np.ndarray:
-        parts = [x.as_py() for x, hi in zip(group.column(name), group.column("hi")) if (len(hi.as_py()) == 0) == known]
+        parts = [x.as_py() for x, k in zip(group.column(name), group.column("known")) if k.as_py() == known]
         return np.frombuffer(b"".join(parts), kind)
 
     columns = [joined(c, kind, False) for c, kind in _COLUMNS]
-    rest = _settle(columns)[1] if len(columns[0]) else np.zeros(0, np.int64)
-    out = [np.concatenate([c[rest], joined(name, kind, True)])
-           for (name, kind), c in list(zip(_COLUMNS, columns))[2:]]
-    return pa.table({"doc": out[0], "row": out[1], "at": out[2].astype(np.int32)})
-
-
-def duplicate_offsets(rows: DataFrame) -> DataFrame:
-    """(doc, row, starts): byte offsets of the duplicate chunks of each document.
+    first, rest, repeated = _settle(columns) if len(columns[0]) else (np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),)
+    first = first[repeated]
+    hi, lo, doc, row, at, size = (np.concatenate([c[first], c[rest], joined(name, kind, True)])
+                            for (name, kind), c in list(zip(_COLUMNS, columns))[:6])
+    return pa.table({"doc": doc, "row": row, "at": at.astype(np.int32),
+                     "stop": (at + size + np.uint32(1)).astype(np.int32), "hi": hi.view(np.int64),
+                     "lo": lo.view(np.int32), "first": np.arange(len(hi)) < len(first)})
+
+
+def repeated_chunks(rows: DataFrame) -> DataFrame:
+    """(doc, row, marks): for each document its chunks whose digest is met at several
+    places, by byte offsets and digest, and whether it is the first holder.
     ``rows``: doc_id long, _r1 long, text as bytes."""
     buckets = 4 * shuffle_partitions(rows.sparkSession)
     packed = rows.mapInArrow(_holders(buckets), _PACKED)
-    found = packed.groupBy("bucket").applyInArrow(_duplicates, "doc long, row long, at int")
-    return found.groupBy("doc", "row").agg(F.collect_set("at").alias("starts"))
-
-
-def _spans(data: bytes, starts) -> tuple[int, list[tuple[int, int]]]:
-    """Number of chunks, and the byte spans to remove."""
-    ends = cut_points(data)
-    dup, spans, start = set(starts), [], 0
-    for stop in ends:
-        if start in dup:
-            if spans and spans[-1][1] == start:
-                spans[-1] = (spans[-1][0], stop)
+    found = packed.groupBy("bucket").applyInArrow(_repeated, _MARKS)
+    return found.groupBy("doc", "row").agg(F.collect_set(F.struct("at", "stop", "hi", "lo", "first")).alias("marks"))
+
+
+_RUN = "start int, stop int, hi1 long, lo1 int, hi2 long, lo2 int"
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of neighbouring duplicate chunks, with the digests of their first and
+    last chunk, in order."""
+    kind = pa.list_(pa.struct([(n, pa.int64() if n[:2] == "hi" else pa.int32())
+                               for n, _ in (f.split() for f in _RUN.split(", "))]))
+    for batch in batches:
+        out, duplicates = [], []
+        for marks in batch.column("marks"):
+            runs: list[dict] = []
+            dup = sorted((m["at"], m["stop"], m["hi"], m["lo"]) for m in marks.as_py() if not m["first"])
+            for at, stop, hi, lo in dup:
+                if runs and runs[-1]["stop"] == at:
+                    runs[-1].update(stop=stop, hi2=hi, lo2=lo)
+                else:
+                    runs.append(dict(start=at, stop=stop, hi1=hi, lo1=lo, hi2=hi, lo2=lo))
+            out.append(runs)
+            duplicates.append(len(dup))
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("row"), pa.array(out, kind),
+                                          pa.array(duplicates, pa.int32())], ["doc", "row", "runs", "dup"])
+
+
+_AROUND = "hi long, lo int, left binary, right binary"
+_BEYOND = f"{_AROUND}, doc long, row long, start int, stop int"
+
+
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes before and behind each first holder of a digest asked for."""
+    for batch in batches:
+        out: list[tuple] = []
+        for text, asked in zip(batch.column("_bytes"), batch.column("asked")):
+            data = text.as_py() if asked.is_valid else b""
+            for m in asked.as_py() or []:
+                out.append((m["hi"], m["lo"], data[max(m["at"] - BEFORE, 0):m["at"]] if m["left"] else None,
+                            data[m["stop"]:m["stop"] + MAX_CHUNK] if m["right"] else None))
+        yield _rows(out, _AROUND)
+
+
+def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes beyond each end of each run, by the digest of its end chunk."""
+    for batch in batches:
+        out: list[tuple] = []
+        for text, doc, row, runs in zip(*(batch.column(c) for c in ("_bytes", "doc", "row", "runs"))):
+            own = runs.as_py() or []
+            data = text.as_py() if own else b""
+            for r, before, after in zip(own, [0, *[x["stop"] for x in own]], [*[x["start"] for x in own[1:]], len(data)]):
+                place = (doc.as_py(), row.as_py(), r["start"], r["stop"])
+                left = data[max(r["start"] - BEFORE, before):r["start"]]
+                right = data[r["stop"]:min(r["stop"] + MAX_CHUNK, after)]
+                out += [(r["hi1"], r["lo1"], left, None, *place)] if left else []
+                out += [(r["hi2"], r["lo2"], None, right, *place)] if right else []
+        yield _rows(out, _BEYOND)
+
+
+def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields)],
+                                      [name for name, _ in fields])
+
+
+def _alike(a: bytes, b: bytes) -> int:
+    """Bytes that ``a`` and ``b`` have in common from the start."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
+
+
+def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes beyond each end that the holder has as well."""
+    for batch in batches:
+        out: list[tuple] = []
+        doc, row, start, stop, left, right, h_left, h_right = (
+            batch.column(c).to_pylist() for c in ("doc", "row", "start", "stop", "left", "right", "h_left", "h_right"))
+        for i in range(batch.num_rows):
+            if left[i] is not None:
+                grown = (start[i] - _alike(left[i][::-1], h_left[i][::-1]), start[i])
             else:
-                spans.append((start, stop))
-        start = stop
-    return len(ends), [s for s in spans if s[1] - s[0] >= MIN_RUN]
+                grown = (stop[i], stop[i] + _alike(right[i], h_right[i]))
+            if grown[1] > grown[0]:
+                out.append((doc[i], row[i], *grown))
+        yield _rows(out, "doc long, row long, a int, b int")
+
+
+def _asked(marked: DataFrame, runs: DataFrame) -> DataFrame:
+    """(doc, row, asked): the first holders of the digests at which runs end."""
+    run = runs.select(F.explode("runs").alias("r"))
+    ends = run.select(F.explode(F.array(
+        F.struct(F.col("r.hi1").alias("hi"), F.col("r.lo1").alias("lo"), F.lit(True).alias("left")),
+        F.struct(F.col("r.hi2").alias("hi"), F.col("r.lo2").alias("lo"), F.lit(False).alias("left")))).alias("e")).select("e.*")
+    wanted = ends.groupBy("hi", "lo").agg(F.max("left").alias("left"), F.max(~F.col("left")).alias("right"))
+    first = marked.select("doc", "row", F.explode(F.filter("marks", lambda m: m["first"])).alias("m")).select("doc", "row", "m.*")
+    return first.join(wanted, ["hi", "lo"]).groupBy("doc", "row").agg(
+        F.collect_set(F.struct("at", "stop", "hi", "lo", "left", "right")).alias("asked"))
+
+
+def _grown(met: DataFrame) -> DataFrame:
+    """(doc, row, grown): per document the spans by which its runs grow."""
+    around = met.mapInArrow(_around, _AROUND).groupBy("hi", "lo").agg(
+        F.max("left").alias("h_left"), F.max("right").alias("h_right"))
+    both = met.mapInArrow(_beyond, _BEYOND).join(around, ["hi", "lo"])
+    grown = both.mapInArrow(_grow, "doc long, row long, a int, b int")
+    return grown.groupBy("doc", "row").agg(F.collect_set(F.struct("a", "b")).alias("grown"))
+
+
+def _spans(data: bytes, pieces) -> list[tuple[int, int]]:
+    """The byte spans to remove, from runs and what they grow by."""
+    spans: list[list[int]] = []
+    for a, b in sorted(pieces):
+        while a < b and data[a] & 0xC0 == 0x80:  # inside a character
+            a += 1
+        while a < b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        if spans and a <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], b)
+        elif a < b:
+            spans.append([a, b])
+    return [(a, b) for a, b in spans if b - a >= MIN_RUN]
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
-        for text, starts in zip(batch.column("_bytes"), batch.column("starts")):
+        for text, runs, dup, grown in zip(*(batch.column(c) for c in ("_bytes", "runs", "dup", "grown"))):
             data = text.as_py()
-            marks = starts.as_py() or []
-            n, spans = _spans(data or b"", marks)
+            n = len(cut_points(data or b""))
+            spans = _spans(data, [*[(r["start"], r["stop"]) for r in runs.as_py() or []],
+                                  *[(g["a"], g["b"]) for g in grown.as_py() or []]])
             left, at = [], 0
             for a, b in spans:
                 left.append(data[at:a])
                 at = b
             kept = None if data is None else b"".join([*left, data[at:]]).decode()
-            for x, v in zip(out, (n, len(marks), sum(b - a for a, b in spans),
+            for x, v in zip(out, (n, dup.as_py() or 0, sum(b - a for a, b in spans),
                                   [{"start": a, "end": b} for a, b in spans], kept)):
                 x.append(v)
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in batch.schema.names if c not in ("_bytes", "starts")],
+            [batch.column("_doc"),
              pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
              pa.array(out[3], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
              pa.array(out[4], pa.string())],
-            [*[c for c in batch.schema.names if c not in ("_bytes", "starts")],
-             "_n", "_dup", "_gone", "_spans", "_left"])
+            ["_doc", "_n", "_dup", "_gone", "_spans", "_left"])
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, to_ends: bool = False) -> DataFrame:
     """``docs`` without the repeated passages in ``text``, plus ``n_chunks``,
     ``n_dup_chunks``, ``removed_bytes`` and ``removed`` (byte spans of the text as
-    it was), under free names."""
+    it was), under free names. ``to_ends``: whole passages, not only whole chunks."""
     r1, _ = digest("doc_id", "text")
     as_bytes = F.encode(F.col("text"), "UTF-8")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), r1.alias("_r1"), as_bytes.alias("text"))
-    found = duplicate_offsets(rows)
+    found = repeated_chunks(rows)
     whole = docs.select(
         F.struct(*[c for c in docs.columns if c != "text"]).alias("_doc"), as_bytes.alias("_bytes"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("doc"), r1.alias("row"))
-    met = whole.join(found, ["doc", "row"], "left").select("_doc", "_bytes", "starts")
+    if to_ends:
+        found = cut(found)
+    runs = found.mapInArrow(_runs, f"doc long, row long, runs array<struct<{_RUN.replace(' ', ':').replace(',:', ',')}>>, dup int")
+    if to_ends:
+        marks = runs.join(_asked(found, runs), ["doc", "row"], "left")
+        met = whole.join(marks, ["doc", "row"], "left").select("_doc", "_bytes", "doc", "row", "runs", "dup", "asked")
+        met = met.join(_grown(met), ["doc", "row"], "left")
+    else:
+        met = whole.join(runs, ["doc", "row"], "left").withColumn(
+            "grown", F.lit(None).cast("array<struct<a:int,b:int>>"))
+    met = met.select("_doc", "_bytes", "runs", "dup", "grown")
     out = met.mapInArrow(_without, f"_doc {met.schema['_doc'].dataType.simpleString()}, _n long, _dup long, "
                                    "_gone long, _spans array<struct<start:int,end:int>>, _left string")
     names = {n: fresh(docs.columns, n) for n in ("n_chunks", "n_dup_chunks", "removed_bytes", "removed")}

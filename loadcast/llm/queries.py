@@ -12,7 +12,7 @@ from loadcast.llm.store import table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return chunks.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), to_ends=True)
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -138,6 +138,54 @@ def test_substring_dedup_catches_passages_and_leaves_others(spark):
     assert out[8].removed_bytes > 4_000  # a text that repeats itself
 
 
+def planted(kind, seed, n=30):
+    """Pairs of texts with nothing in common but one passage, and the later ones without it."""
+    rng = np.random.default_rng(seed)
+
+    def text(k, base):
+        if kind == "cjk":
+            return "".join(chr(0x4E00 + base * 3000 + c) for c in rng.integers(0, 3000, k))
+        return " ".join("".join(chr(97 + base * 8 + c) for c in rng.integers(0, 8, 6)) for _ in range(k))
+
+    rows, want, passages = [], {}, {}
+    for k in range(n):
+        passage = text(330 if kind == "cjk" else 51, 2)
+        around = [text(int(rng.integers(20, 200)), base) for base in (0, 0, 1, 1)]
+        rows += [(2 * k, around[0] + passage + around[1]), (2 * k + 1, around[2] + passage + around[3])]
+        want[2 * k], want[2 * k + 1], passages[2 * k + 1] = rows[-2][1], around[2] + around[3], passage
+    return rows, want, passages
+
+
+@pytest.mark.parametrize("partitions", [1, 6])
+@pytest.mark.parametrize("kind", ["words", "cjk"])
+def test_substring_dedup_removes_whole_passages_to_the_byte(spark, kind, partitions):
+    rows, want, passages = planted(kind, 7)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    out = chunks.dedup(df, to_ends=True).collect()
+    assert {r.doc_id: r.text for r in out} == want
+    assert all(r.removed_bytes == len(passages[r.doc_id].encode()) for r in out if r.doc_id % 2)
+
+
+def test_substring_dedup_to_ends_keeps_one_copy_of_every_byte(spark):
+    rows = [r for r in awkward_rows() if r[0] is not None and r[0] != 12]
+    out = {p: {r.doc_id: r.asDict() for r in chunks.dedup(spark.createDataFrame(rows, awkward(spark).schema)
+                                                          .repartition(p), to_ends=True).collect()} for p in (1, 5)}
+    assert out[1] == out[5]  # whatever the partitions
+    texts = {i: t for i, t, *_ in rows}
+    earlier = lambda i: "\0".join(t for k, t in sorted(texts.items(), key=lambda x: x[0]) if t and k < i)
+    for i, r in out[1].items():
+        data = (texts[i] or "").encode()
+        left = "".join(data[a:b].decode() for a, b in zip([0, *[s.end for s in r["removed"]]],
+                                                          [*[s.start for s in r["removed"]], len(data)]))
+        assert left == (r["text"] or "")
+        if i not in (4, 8):  # texts that repeat themselves
+            assert r["removed_bytes"] == 0 or all(data[s.start:s.start + 20].decode(errors="ignore") in earlier(i)
+                                                  for s in r["removed"])
+    passage = texts[10].split("\n")[1]
+    assert passage in out[1][10]["text"] and passage not in out[1][11]["text"]
+    assert out[1][11]["removed_bytes"] >= len(passage.encode())
+
+
 def test_substring_dedup_clashes_and_empty(spark):
     out = chunks.dedup(clashing(spark))
     assert out.count() == len(awkward_rows())
