@@ -67,6 +67,13 @@ def test_common_lines_are_a_longest_subsequence():
         assert all(x in it for x in (a[i] for i in got))
 
 
+def test_articles_in_frames_behind_the_main_article_are_no_text():
+    main = "<header><div>h<article><p>story</p></article></div></header>"
+    for frame in ("<section class=comments><article><p>reader</p></article><article><p>other</p></article></section>",
+                  "<div class='related'><article><p>teaser</p></article></div>", "<nav><article>t</article></nav>"):
+        assert pagetext.main_text(pagetext.read_lines(main + frame + "<article><p>more</p></article>")) == "story\nmore"
+
+
 def test_pages_without_article_lose_shared_lines(spark):
     frame = "<div>Site name</div><div>{}</div><div>All rights reserved</div>"
     rows = [(k, f"http://h{k % 2}.example/p/{k:03}", page(frame.format(f"story {k}"))) for k in range(30)]
