@@ -98,3 +98,48 @@ SELECT *, md5('{SEED}-order:' || coalesce(doc_id::varchar, 'null') || ':' || cop
 
 
 ORACLES["op7_source_mixing"] = _mix_sql()
+
+
+def _topk_sql() -> str:
+    from loadcast.llm.topk import ASKED, K, SCALE
+
+    return f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) AS e
+           FROM embeddings WHERE embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % {ASKED} = 0),
+s AS (SELECT q.vec_id AS query_id, q.e, v.vec_id,
+             list_inner_product(q.e::double[], v.e::double[])::bigint AS score
+      FROM q JOIN v ON v.vec_id IS DISTINCT FROM q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id, e ORDER BY score DESC, vec_id NULLS LAST)::int AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {K}"""
+
+
+ORACLES["op11_topk_search"] = _topk_sql()
+
+
+def _ranked_sql() -> str:
+    from loadcast.llm.ranked import K
+    from loadcast.llm.text import LOWER, UPPER
+
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    terms = f"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{term}')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {terms} AS t FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS docs, sum(len(t))::bigint AS terms FROM d WHERE len(t) > 0),
+i AS (SELECT row_number() OVER () AS iid, item_id, t
+      FROM (SELECT DISTINCT item_id, text, {terms} AS t FROM benchmark WHERE text IS NOT NULL)),
+a AS (SELECT iid, item_id, term, count(*) AS times FROM (SELECT iid, item_id, unnest(t) AS term FROM i) GROUP BY ALL),
+x AS (SELECT rid, doc_id, len(t) AS n, unnest(t) AS term FROM d),
+p AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM x WHERE term IN (SELECT term FROM a) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint AS w FROM f, s),
+g AS (SELECT rid, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))) AS impact
+      FROM p JOIN w USING (term), s),
+r AS (SELECT iid, item_id, rid, doc_id, sum(times * impact)::bigint AS score FROM a JOIN g USING (term) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST)::int AS rank
+      FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= {K}"""
+
+
+ORACLES["op12_ranked_search"] = _ranked_sql()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import chunks, jaccard, lines, lm, mixing, nearvec, pagetext, pieces, quality, shards
+from loadcast.llm import chunks, jaccard, lines, lm, mixing, nearvec, pagetext, pieces, quality, ranked, shards, topk, variants
 from loadcast.llm.store import table
 
 
@@ -55,6 +55,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -66,4 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_topk_search": op11_topk_search,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
