@@ -7,18 +7,23 @@
 * ``write_table`` — overwrite or append, Parquet by default. A single output
   file (``single_file=True``) is for small exports only: it funnels the last
   stage through one task.
-* ``publish`` — write straight to the final URI, replacing what is there.
+* ``publish`` — replace what is at the final URI: written beside it first and
+  then moved there, so a write that fails leaves the old table. Readers that must
+  never meet the moment of the move use ``published.publish_version``.
 * ``ingest`` — land a raw upload: read with the declared schema, check the
   columns, write it as Parquet under the target.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import RAW_SCHEMA, clean_schema
+from . import commits
 
 
 def _strict(column: Column, field: T.StructField) -> Column:
@@ -90,7 +95,21 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def publish(df: DataFrame, uri: str, fmt: str = "csv", single_file: bool = False) -> None:
     """Replace whatever is published under ``uri`` by ``df``."""
-    write_table(df, uri, fmt, mode="overwrite", single_file=single_file)
+    spark, uri = df.sparkSession, uri.rstrip("/")
+    mark = uuid.uuid4().hex[:12]
+    staged, replaced = f"{uri}.staged-{mark}", f"{uri}.replaced-{mark}"
+    try:
+        write_table(df, staged, fmt, mode="error", single_file=single_file)
+    except BaseException:
+        commits.delete(spark, staged)
+        raise
+    had = commits.exists(spark, uri)
+    if had:
+        commits.move(spark, uri, replaced)
+    if not commits.move(spark, staged, uri):
+        raise RuntimeError(f"{uri}: another writer published at the same time; {staged} holds this table")
+    if had:
+        commits.delete(spark, replaced)
 
 
 def ingest(spark: SparkSession, src: str, dst: str, fmt: str = "csv") -> DataFrame:
