@@ -104,7 +104,7 @@ def training_table(train: DataFrame, labels=LABELS, features=FEATURES,
 
 def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=FEATURES,
               parallelism: int = FIT_PARALLELISM, stage: str | None = "checkpoint",
-              solver: str = "mllib", partitions: int | None = None, **params) -> dict:
+              solver: str = "mllib", partitions: int | None = None, on_fit=None, **params) -> dict:
     """Fit one ``family`` model per label; returns {label: model} in label order.
 
     ``features`` is one list for all labels, or a mapping label → list (each
@@ -118,7 +118,8 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
     ``parallelism`` fits run at once, whatever the size of the table; each tree
     fit holds its own binned copy of the rows, so memory bounds it. ``partitions``
     see ``training_table``; it is kept on each model as ``fit_partitions`` and
-    saved with the models.
+    saved with the models. ``on_fit(label, model)`` is called as each fit ends, in
+    its thread.
     """
     labels = list(labels)
     if solver == "moments":
@@ -136,7 +137,10 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
             data = table
             if isinstance(features, dict):
                 data = assemble(table.select(*features[label], label), features[label])
-            return label, estimator(family, label, **params).fit(data)
+            model = estimator(family, label, **params).fit(data)
+            if on_fit:
+                on_fit(label, model)
+            return label, model
 
         workers = max(1, min(int(parallelism), len(labels)))
         if workers == 1:

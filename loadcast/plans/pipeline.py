@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators.clean import clean, complete_rows
 from ..operators.score import error_sums, hour_of, predict_hours, wide_result
-from ..operators.split import hash_split, random_split
-from ..operators.train import FIT_PARALLELISM, fit_hours, load_models, save_models
-from ..schema import KEY, LABELS, RESULT_CONTEXT
+from ..operators.modelsets import has_model_set, load_model_set, save_model_set
+from ..operators.split import exact_split, hash_split, random_split
+from ..operators.train import FIT_PARALLELISM, fit_hours, load_models
+from ..schema import FEATURES, KEY, LABELS, RESULT_CONTEXT
 from ..sources.files import publish, read_clean_csv, read_raw_csv, write_table
 
 ID_CARRY = ("STAT_CYCLE",)
@@ -45,10 +46,11 @@ def makedata(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
 def model_inputs(cleaned: DataFrame, split: str = "hash") -> tuple[DataFrame, DataFrame]:
     """(train, test) complete rows of the cleaned table. ``split="hash"`` splits
     on the row key (stable across jobs); ``"random"`` is ``randomSplit`` with
-    weights 70/30 and seed 123, whose rows depend on the input partitioning. A
-    table without the key has no hash split: ask for ``"random"`` and keep the
+    weights 70/30 and seed 123, whose rows depend on the input partitioning;
+    ``"exact"`` trains on exactly 70 % of the rows, the same on any layout. A
+    table without the key has neither: ask for ``"random"`` and keep the
     sides, since another job would draw them anew."""
-    if split not in ("hash", "random"):
+    if split not in ("hash", "exact", "random"):
         raise ValueError(f"unknown split {split!r}")
     rows = complete_rows(cleaned)
     if split == "random":
@@ -57,7 +59,7 @@ def model_inputs(cleaned: DataFrame, split: str = "hash") -> tuple[DataFrame, Da
     missing = [k for k in KEY if k not in rows.columns]
     if missing:
         raise ValueError(f"the hash split needs {missing}; pass split='random' for a table without the key")
-    return hash_split(rows)
+    return hash_split(rows) if split == "hash" else exact_split(rows)
 
 
 def train_models(cleaned: DataFrame, family: str = "ridge", labels=LABELS,
@@ -66,7 +68,8 @@ def train_models(cleaned: DataFrame, family: str = "ridge", labels=LABELS,
     train, _ = model_inputs(cleaned, split)
     models = fit_hours(train, family, labels, parallelism=parallelism, stage=stage, **params)
     if model_root:
-        save_models(models, model_root, family)
+        save_model_set(models, model_root, family, params.get("features", FEATURES),
+                       notes={"split": split, "params": {k: repr(v) for k, v in params.items()}})
     return models
 
 
@@ -96,7 +99,8 @@ def predict(cleaned: DataFrame, models: dict | None = None, family: str = "ridge
     start = time.perf_counter()
     labels = list(models) if models else list(LABELS)
     if models is None:
-        models = load_models(model_root, family, labels, solver=solver)
+        models = (load_model_set(model_root, family, labels) if has_model_set(model_root, family)
+                  else load_models(model_root, family, labels, solver=solver))
     loaded = time.perf_counter()
     scored = scored_test_rows(cleaned, models, digits, split)
     obs = Observation(f"rmse_{family}")
