@@ -21,6 +21,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from loadcast.operators.area_state import add_upload, impute_from_state, stored_means  # noqa: E402
 from loadcast.operators.clean import (  # noqa: E402
     area_means,
     clean,
@@ -32,9 +33,27 @@ from loadcast.operators.clean import (  # noqa: E402
     recode_trade,
 )
 from loadcast.operators.features import features_array  # noqa: E402
-from loadcast.operators.paging import build_page_index, page, page_count, read_page  # noqa: E402
+from loadcast.operators.modelsets import (  # noqa: E402
+    fit_with_journal,
+    load_model_set,
+    save_model_set,
+)
+from loadcast.operators.paging import (  # noqa: E402
+    build_page_index,
+    page,
+    page_count,
+    preview_index,
+    read_from,
+    read_manifest,
+    read_page,
+)
 from loadcast.operators.score import predict_hours, rmse_report, wide_result  # noqa: E402
-from loadcast.operators.split import hash_split, random_split, split_label  # noqa: E402
+from loadcast.operators.split import (  # noqa: E402
+    exact_split_label,
+    hash_split,
+    random_split,
+    split_label,
+)
 from loadcast.operators.train import fit_hours, load_models, save_models  # noqa: E402
 from loadcast.plans.pipeline import (  # noqa: E402
     clean_table,
@@ -53,15 +72,20 @@ from loadcast.schema import (  # noqa: E402
     RESULT_CONTEXT,
 )
 from loadcast.session import work_dir  # noqa: E402
+from loadcast.sources.commits import make_folder  # noqa: E402
 from loadcast.sources.files import (  # noqa: E402
     append_table,
     ingest,
     read_raw_csv,
     write_table,
 )
+from loadcast.sources.history import append_once, read_history, write_by_day  # noqa: E402
 from loadcast.sources.inspect import preview, schema_report  # noqa: E402
 from loadcast.sources.meter_day import meter_day  # noqa: E402
+from loadcast.sources.published import publish_version, read_published  # noqa: E402
 from loadcast.streaming.incremental import ingest_stream  # noqa: E402
+from loadcast.streaming.running import impute_uploads, running_rmse, score_uploads  # noqa: E402
+from loadcast.streaming.uploads import ingest_uploads, read_landed, read_rejected  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 ROUND = 6
@@ -131,6 +155,12 @@ def q_schema_report_clean(spark, sf):
 
 
 def q_preview(spark, sf):
+    # The first rows of an indexed table: its first chunk is all that is read.
+    path = build_page_index(_md(spark, sf), work_dir(spark, "preview"), rows_per_chunk=1000)
+    return preview_index(spark, path, 20, ("STAT_CYCLE",) + RESULT_CONTEXT)
+
+
+def q_preview_unindexed(spark, sf):
     return preview(_md(spark, sf), 20, ("STAT_CYCLE",) + RESULT_CONTEXT)
 
 
@@ -360,6 +390,199 @@ def q_page_count(spark, sf):
     return page_count(_cleaned_keyed(spark, sf), 20)
 
 
+
+# --- tables, models and results that survive failures ----------------------
+
+class _Stopped(Exception):
+    """Raised where a query has to be interrupted."""
+
+
+def _fails(job) -> None:
+    try:
+        job()
+    except Exception:
+        return
+    raise AssertionError("the job was to fail")
+
+
+def q_publish_replace(spark, sf):
+    # Publish A; a publish of B that fails halfway leaves A; publish C.
+    rows = _md(spark, sf).select(*KEY, *LABELS)
+    uri = work_dir(spark, "published")
+    publish_version(rows.where(F.col("MP_ID") % 2 == 0), uri)
+    broken = F.when(F.col("MP_ID") % 2 == 1, F.raise_error(F.lit("broken")).cast("double")).otherwise(F.col("LOAD0"))
+    _fails(lambda: publish_version(rows.withColumn("LOAD0", broken), uri))
+    # Read now: the version stays for one more publish.
+    kept = read_published(spark, uri).withColumn("STEP", F.lit("after_failure"))
+    publish_version(rows, uri, "csv")
+    return kept.unionByName(read_published(spark, uri).withColumn("STEP", F.lit("after_replace")))
+
+
+def q_page_manifest(spark, sf):
+    # A page beyond the first chunk of an index with chunks of 150 rows.
+    path = build_page_index(_cleaned_keyed(spark, sf), work_dir(spark, "chunked"), rows_per_chunk=150)
+    return _rounded(read_page(spark, path, 40, 20))
+
+
+def q_index_manifest(spark, sf):
+    path = build_page_index(_cleaned_keyed(spark, sf), work_dir(spark, "manifest"), rows_per_chunk=150)
+    return read_manifest(spark, path).select(
+        "chunk", "rows", "first_row", F.col("low.MP_ID").alias("low_mp"), F.col("low.STAT_CYCLE").alias("low_cycle"),
+        F.col("high.MP_ID").alias("high_mp"), F.col("high.STAT_CYCLE").alias("high_cycle"))
+
+
+def q_page_seek(spark, sf):
+    # The rows from meter 50 on, found in the manifest.
+    path = build_page_index(_cleaned_keyed(spark, sf), work_dir(spark, "seek"), rows_per_chunk=150)
+    return _rounded(read_from(spark, path, [50], 200))
+
+
+def _mixed_uploads(spark, sf):
+    # One stream over an empty folder, then over uploads of four kinds.
+    upload, landed, rejected = (work_dir(spark, n) for n in ("mixed-upload", "mixed-landed", "mixed-rejected"))
+    make_folder(spark, upload)
+    ingest_uploads(spark, upload, landed, rejected).awaitTermination()
+    raw = _md(spark, sf)
+    kind = lambda k: raw.where(F.col("MP_ID") % 4 == k)
+    write_table(kind(0), f"{upload}/plain", "csv")
+    write_table(kind(1).select(F.lit("x, y").alias("REMARK"), *reversed(raw.columns)), f"{upload}/more", "csv")
+    ingest_uploads(spark, upload, landed, rejected).awaitTermination()
+    write_table(kind(2).drop("WINDSPEED"), f"{upload}/less", "csv")
+    wind = F.when(F.dayofmonth("STAT_CYCLE") % 2 == 0, F.lit("fast")).otherwise(F.col("WINDSPEED").cast("string"))
+    write_table(kind(3).withColumn("WINDSPEED", wind), f"{upload}/broken", "csv")
+    ingest_uploads(spark, upload, landed, rejected).awaitTermination()
+    return read_landed(spark, landed), read_rejected(spark, rejected)
+
+
+def q_ingest_mixed_headers(spark, sf):
+    landed, _ = _mixed_uploads(spark, sf)
+    return landed.withColumn("REMARK", F.col("EXTRA_COLUMNS")["REMARK"]).drop("EXTRA_COLUMNS")
+
+
+def q_ingest_mixed_rejects(spark, sf):
+    _, rejected = _mixed_uploads(spark, sf)
+    # A line ends as it began in the upload: with the meter first.
+    return rejected.select("reason", F.split("line", ",")[0].cast("long").alias("MP_ID")).groupBy(
+        "reason", "MP_ID").agg(F.count("*").alias("n_lines"))
+
+
+def _coefficients(spark, models):
+    rows = [(label, int(label[4:]), float(m.coefficients[0]), float(m.intercept)) for label, m in models.items()]
+    out = spark.createDataFrame(rows, "label string, hour int, slope double, intercept double")
+    return out.select("label", "hour", F.round("slope", ROUND).alias("slope"), F.round("intercept", ROUND).alias("intercept"))
+
+
+_SINGLE = {label: [x] for label, x in zip(LABELS, DAY_LAGS)}
+
+
+class _NoDisk:
+    def write(self):
+        raise _Stopped("no space left")
+
+
+def q_model_set_replace(spark, sf):
+    # A save that fails at label 12 leaves the 24 models before it.
+    models, _ = _single_feature_models(spark, sf)
+    root = work_dir(spark, "model-set")
+    save_model_set(models, root, "ridge", _SINGLE)
+    other = {label: models["LOAD0"] for label in LABELS}
+    _fails(lambda: save_model_set({**other, "LOAD12": _NoDisk()}, root, "ridge", _SINGLE))
+    return _coefficients(spark, load_model_set(root, "ridge", LABELS, _SINGLE))
+
+
+def q_model_save_exists(spark, sf):
+    # A save that must not replace fails where a set is, and changes nothing.
+    models, _ = _single_feature_models(spark, sf)
+    root = work_dir(spark, "model-keep")
+    save_model_set(models, root, "ridge", _SINGLE, overwrite=False)
+    other = {label: models["LOAD0"] for label in LABELS}
+    _fails(lambda: save_model_set(other, root, "ridge", _SINGLE, overwrite=False))
+    return _coefficients(spark, load_model_set(root, "ridge", LABELS, _SINGLE))
+
+
+def q_fit_resume(spark, sf):
+    # Interrupted after 10 labels; the second run fits the others.
+    train, _ = model_inputs(_cleaned_keyed(spark, sf))
+    journal, seen = work_dir(spark, "journal"), []
+
+    def stop(label):
+        seen.append(label)
+        if len(seen) == 10:
+            raise _Stopped(label)
+
+    fit = lambda **kw: fit_with_journal(train, journal, "ridge", LABELS, _SINGLE, **kw)
+    _fails(lambda: fit(parallelism=1, on_commit=stop))
+    return _coefficients(spark, fit(parallelism=PARALLEL_FITS))
+
+
+def q_append_once(spark, sf):
+    # Each batch is appended twice and counts once.
+    train, test = hash_split(complete_rows(_cleaned_keyed(spark, sf)))
+    path = work_dir(spark, "history")
+    for name, rows in (("train", train), ("test", test), ("train", train), ("test", test)):
+        append_once(rows, path, name)
+    return _rounded(read_history(spark, path, "SPLIT"))
+
+
+def q_random_split_exact(spark, sf):
+    return exact_split_label(complete_rows(_cleaned_keyed(spark, sf)))
+
+
+def _area_state(spark, sf):
+    # Three uploads one by one; the second arrives twice.
+    rows = drop_columns(_md(spark, sf))
+    state = work_dir(spark, "area-state")
+    for k in (0, 1, 1, 2):
+        add_upload(rows.where(F.col("MP_ID") % 7 % 3 == k), state, f"upload-{k}")
+    return rows, state
+
+
+def q_area_means_state(spark, sf):
+    _, state = _area_state(spark, sf)
+    return _rounded(stored_means(spark, state))
+
+
+def q_impute_from_state(spark, sf):
+    rows, state = _area_state(spark, sf)
+    return _rounded(impute_from_state(rows, state))
+
+
+def q_stream_area_means(spark, sf):
+    # The state as a stream keeps it, over two uploads and a restart.
+    rows = drop_columns(_md(spark, sf))
+    upload, state, filled = (work_dir(spark, n) for n in ("fill-upload", "fill-state", "filled"))
+    for side in (0, 1):
+        write_table(rows.where(F.col("MP_ID") % 2 == side), f"{upload}/side={side}")
+        impute_uploads(spark, f"{upload}/side=*", rows.schema, state, filled).awaitTermination()
+    return _rounded(stored_means(spark, state))
+
+
+def q_running_rmse(spark, sf):
+    # Scored in two uploads with a restart between; errors from the ledger.
+    models, test = _single_feature_models(spark, sf)
+    upload, scored = work_dir(spark, "score-upload"), work_dir(spark, "scored")
+    for side in (0, 1):
+        write_table(test.where(F.col("MP_ID") % 2 == side), f"{upload}/side={side}")
+        score_uploads(spark, f"{upload}/side=*", test.schema, models, scored, features=_SINGLE, id_cols=KEY).awaitTermination()
+    return running_rmse(spark, scored).withColumn("rmse", F.round("rmse", ROUND))
+
+
+def q_rescore_day(spark, sf):
+    # A day scored again, with one digit, replaces its own rows only.
+    models, test = _single_feature_models(spark, sf)
+    path = work_dir(spark, "by-day")
+    for rows, digits in ((test, 4), (test.where(F.dayofmonth("STAT_CYCLE") == 15), 1)):
+        write_by_day(wide_result(predict_hours(rows, models, digits, features=_SINGLE, keep=list(KEY)), LABELS, KEY), path)
+    return spark.read.parquet(path)
+
+
+def q_relative_error_unrounded(spark, sf):
+    # The command-line variant: predictions are not rounded (here for comparison).
+    models, test = _single_feature_models(spark, sf)
+    wide = wide_result(predict_hours(test, models, None, features=_SINGLE, keep=list(KEY)), LABELS, KEY)
+    return wide.select(*KEY, *[F.round(c, ROUND).alias(c) for c in wide.columns if c not in KEY])
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "meter_day": q_meter_day,
     "csv_roundtrip": q_csv_roundtrip,
@@ -402,6 +625,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forest_cells": q_forest_cells,
     "gbt_cells": q_gbt_cells,
     "page_count": q_page_count,
+    "preview_unindexed": q_preview_unindexed,
+    "publish_replace": q_publish_replace,
+    "page_manifest": q_page_manifest,
+    "index_manifest": q_index_manifest,
+    "page_seek": q_page_seek,
+    "ingest_mixed_headers": q_ingest_mixed_headers,
+    "ingest_mixed_rejects": q_ingest_mixed_rejects,
+    "model_set_replace": q_model_set_replace,
+    "model_save_exists": q_model_save_exists,
+    "fit_resume": q_fit_resume,
+    "append_once": q_append_once,
+    "random_split_exact": q_random_split_exact,
+    "area_means_state": q_area_means_state,
+    "impute_from_state": q_impute_from_state,
+    "stream_area_means": q_stream_area_means,
+    "running_rmse": q_running_rmse,
+    "rescore_day": q_rescore_day,
+    "relative_error_unrounded": q_relative_error_unrounded,
 }
 
 

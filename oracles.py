@@ -167,16 +167,19 @@ def single_feature_fits_cte() -> str:
             f"ELSE cxy / vx / (1 + {reg} / sy) END AS slope FROM moments))")
 
 
-def single_feature_scored_cte(digits: int = 4) -> str:
+def single_feature_scored_cte(digits: int | None = 4) -> str:
+    def settle(expr):
+        return expr if digits is None else f"round({expr}, {digits})"
+
     cols = []
     for h in HOURS:
-        pred = (f"round((SELECT slope FROM fits WHERE hour = {h}) * DLOAD{h} + "
-                f"(SELECT intercept FROM fits WHERE hour = {h}), {digits})")
+        pred = settle(f"(SELECT slope FROM fits WHERE hour = {h}) * DLOAD{h} + "
+                      f"(SELECT intercept FROM fits WHERE hour = {h})")
         cols.append(f"{pred} AS TLOAD{h}")
     base = ", ".join(["MP_ID", "STAT_CYCLE"] + list(LABELS) + cols)
     re_cols = [
-        f"round(CASE WHEN LOAD{h} <> 0 THEN abs(LOAD{h} - TLOAD{h}) / abs(LOAD{h}) "
-        f"ELSE abs(TLOAD{h}) END, {digits}) AS TLOAD{h}_RE" for h in HOURS]
+        settle(f"CASE WHEN LOAD{h} <> 0 THEN abs(LOAD{h} - TLOAD{h}) / abs(LOAD{h}) "
+               f"ELSE abs(TLOAD{h}) END") + f" AS TLOAD{h}_RE" for h in HOURS]
     return (f"pred AS (SELECT {base} FROM test),\n"
             f"scored AS (SELECT *, {', '.join(re_cols)} FROM pred)")
 
@@ -288,7 +291,46 @@ def oracle_queries() -> dict[str, str]:
     q["forest_cells"] = q["gbt_cells"] = pipe + cells
     # A loaded model predicts what the saved one does.
     q["model_save_load"] = "\nUNION ALL\n".join(f"SELECT 'LOAD{h}' AS label, 0e0 AS max_abs_diff" for h in HOURS)
+    _durable(q, md, pipe, fits, cleaned_keyed, raw_cols, rm)
     return q
 
 
+def _durable(q, md, pipe, fits, cleaned_keyed, raw_cols, rmse_rows) -> None:
+    """Tables, models and results that survive failures: what they hold then."""
+    loads = ", ".join(LABELS)
+    q["preview_unindexed"] = q["preview"]
+    q["publish_replace"] = md + (
+        f"SELECT MP_ID, STAT_CYCLE, {loads}, 'after_failure' AS STEP FROM meter_day WHERE MP_ID % 2 = 0\n"
+        f"UNION ALL SELECT MP_ID, STAT_CYCLE, {loads}, 'after_replace' FROM meter_day")
+    q["page_manifest"] = cleaned_keyed + "SELECT * FROM cleaned ORDER BY MP_ID, STAT_CYCLE LIMIT 20 OFFSET 780"
+    q["page_seek"] = cleaned_keyed + "SELECT * FROM cleaned WHERE MP_ID >= 50 ORDER BY MP_ID, STAT_CYCLE LIMIT 200"
+    q["index_manifest"] = cleaned_keyed + """SELECT (r // 150)::BIGINT AS chunk, count(*) AS rows, min(r)::BIGINT AS first_row,
+  arg_min(MP_ID, r) AS low_mp, arg_min(STAT_CYCLE, r) AS low_cycle, arg_max(MP_ID, r) AS high_mp, arg_max(STAT_CYCLE, r) AS high_cycle
+FROM (SELECT *, row_number() OVER (ORDER BY MP_ID, STAT_CYCLE) - 1 AS r FROM cleaned) GROUP BY r // 150"""
+    q["ingest_mixed_headers"] = md + (
+        f"SELECT {raw_cols}, CASE WHEN MP_ID % 4 = 1 THEN 'x, y' END AS REMARK FROM meter_day "
+        "WHERE MP_ID % 4 < 2 OR (MP_ID % 4 = 3 AND dayofmonth(STAT_CYCLE) % 2 = 1)")
+    q["ingest_mixed_rejects"] = md + (
+        "SELECT CASE WHEN MP_ID % 4 = 2 THEN 'the header lacks WINDSPEED' ELSE 'WINDSPEED: not a double' END AS reason, "
+        "MP_ID, count(*) AS n_lines FROM meter_day "
+        "WHERE MP_ID % 4 = 2 OR (MP_ID % 4 = 3 AND dayofmonth(STAT_CYCLE) % 2 = 0) GROUP BY ALL")
+    q["model_set_replace"] = q["model_save_exists"] = q["fit_resume"] = q["ridge_single_feature"]
+    q["append_once"] = q["result_append"]
+    q["random_split_exact"] = pipe + (
+        "SELECT MP_ID, STAT_CYCLE, CASE WHEN row_number() OVER (ORDER BY substr(md5('123|=' || CAST(MP_ID AS VARCHAR) "
+        "|| '|=' || CAST(STAT_CYCLE AS VARCHAR)), 1, 15)) <= floor(0.7e0 * count(*) OVER () + 0.5e0) "
+        "THEN 'train' ELSE 'test' END AS SPLIT FROM complete")
+    q["area_means_state"] = q["stream_area_means"] = q["area_means"]
+    q["impute_from_state"] = q["impute_area_mean"]
+    scored = fits.rstrip() + ",\n" + single_feature_scored_cte(4)
+    q["running_rmse"] = f"{scored}\nSELECT *, (SELECT count(*) FROM scored) AS rows FROM ({rmse_rows})"
+    wide = ", ".join(f"TLOAD{h}, TLOAD{h}_RE" for h in HOURS)
+    again = single_feature_scored_cte(1).replace("pred AS", "pred1 AS").replace("FROM pred)", "FROM pred1)").replace("scored AS", "scored1 AS")
+    q["rescore_day"] = (f"{scored},\n{again}\nSELECT MP_ID, STAT_CYCLE, {wide} FROM scored WHERE dayofmonth(STAT_CYCLE) <> 15\n"
+                        f"UNION ALL SELECT MP_ID, STAT_CYCLE, {wide} FROM scored1 WHERE dayofmonth(STAT_CYCLE) = 15")
+    rounded = ", ".join(f"{_r(c)} AS {c}" for h in HOURS for c in (f"TLOAD{h}", f"TLOAD{h}_RE"))
+    q["relative_error_unrounded"] = (f"{fits.rstrip()},\n{single_feature_scored_cte(None)}\n"
+                                     f"SELECT MP_ID, STAT_CYCLE, {rounded} FROM scored")
+
+
 __all__ = ["oracle_queries", "meter_day_ctes", "CONTEXT_FEATURES"]
