@@ -7,21 +7,28 @@ written and trained in numpy, predicts each id from the ids before it:
 * Ids fall into ``GROUPS * MEMBERS`` classes: the most counted ones are classes of
   their own, the rest share ``TAIL`` classes, apart by whether they begin a word.
 * Queries, keys and values come from an embedding of the class, with a learned
-  bias by distance. Windows of ``2 * STEP - 1`` ids overlap so that each window
-  scores ``STEP`` ids, each id exactly once, with at least ``STEP - 1`` ids (or the
-  padding in front of the text) before it; a mask hides later ids.
+  bias by distance. An id attends to the ``SPAN`` symbols before it. Windows score
+  ``STEP`` ids each and overlap by ``SPAN - 1`` symbols, so that each id is scored
+  exactly once with all of its span; padding in front of a text is masked. With one
+  layer the weight of a key depends on two classes and a distance: a batch looks
+  its weights up in a table of all pairs of classes, made once for its weights, and
+  goes through the span for all its windows at a time.
 * The output is a group, a member within it, and the share of the id in its class
   by the counts of all training texts: a proper log probability of the text.
 
-Training is data-parallel over all training documents: each task trains on its
-documents from common weights, and the weights are averaged by their ids counted.
-A first round over one eighth of the documents gives the common start of the
-second, which takes the others; each training document is used once.
+Training takes every training document once. Documents are dealt by a hash of the
+row to as many lanes as hold ``LANE_WORDS`` words each; a lane goes through its
+documents in the order of that hash, one Adam step a batch, the first ``RAMP`` steps
+of ``FIRST`` windows, then twice as many after each ``RAMP`` steps, up to ``BATCH``.
+A first round over one eighth of the documents gives the common start of the second
+over the others; after a round the lanes' weights are averaged by their ids, in
+whole numbers, so that scores do not depend on partitions or file layout. Ids are
+made once and landed; their counts, both rounds and the scoring read them.
 
 The base score is a unigram model of words. Words holding at least 1 / ``HEAD`` of
 all training tokens (so at most ``HEAD`` of them) are looked up in a broadcast
-table; the others meet their counts in packed buckets by word hash, and only
-sums per document come back.
+table; the others meet their counts in packed buckets by word hash, as many as hold
+``BUCKET_WORDS`` words each, and only sums per document come back.
 
 Rows: null text is empty: one token, its end. A null ``doc_id`` counts as the
 empty text for the fold, so it is held out. Repeated rows are trained on and
@@ -34,14 +41,13 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.store import cut, shuffle_partitions
+from loadcast.llm.store import cut, land, shuffle_partitions
 from loadcast.llm.text import LOWER, UPPER, digest
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -52,11 +58,19 @@ MEMBERS = 32
 CLASSES = GROUPS * MEMBERS
 TAIL = 64
 WIDTH = 16
-STEP = 12
+SPAN = 8
+STEP = 64
+#: Windows of a step: at first, at most, and steps after which they double.
+FIRST = 64
 BATCH = 1024
-RATE = 0.03
+RAMP = 64
+#: Windows that go through the layer together.
+BLOCK = 128
+RATE = 0.04
 SEED = 20
-LANES = 32
+#: Words of a lane of training, and of a bucket of rare words.
+LANE_WORDS = 4_000_000
+BUCKET_WORDS = 4_000_000
 #: Distinct words a task counts, and characters of words it remembers.
 HELD_WORDS = 500_000
 REMEMBERED_CHARS = 4_000_000
@@ -94,6 +108,10 @@ class Lookup:
             return np.fromiter(map(self.known.__getitem__, words), self.kind, len(words))
 
 
+def id_kind(size: int) -> np.dtype:
+    return np.dtype("<u2" if size <= 65_536 else "<u4")
+
+
 class Subwords:
     """Ids of words, remembered per Python worker."""
 
@@ -107,7 +125,7 @@ class Subwords:
         mark = "\u2581"
         self.begins = np.array([self.model.id_to_piece(i).startswith(mark) for i in range(self.size)])
         # Ids as packed numbers, so a text's ids are one join of bytes.
-        self.kind = np.dtype("<u2" if self.size <= 65_536 else "<u4")
+        self.kind = id_kind(self.size)
         self.known: dict[bytes, bytes] = {}
         self.held = 0
 
@@ -141,12 +159,12 @@ class Subwords:
 
 # --- the attention model --------------------------------------------------------
 
-_SHAPES = {"E": (CLASSES + 2, WIDTH), "Wq": (WIDTH, WIDTH), "Wk": (WIDTH, WIDTH), "Wv": (WIDTH, WIDTH),
-           "Wr": (WIDTH, WIDTH), "bias": (2 * STEP - 1,), "G": (WIDTH, GROUPS), "g0": (GROUPS,),
-           "M": (GROUPS, WIDTH, MEMBERS), "m0": (GROUPS, MEMBERS)}
 PAD = CLASSES
 START = CLASSES + 1
-_REACH = np.arange(STEP)[:, None] + STEP - 1 - np.arange(2 * STEP - 1)[None, :]  # how far back a key is
+SYMBOLS = CLASSES + 2
+_SHAPES = {"E": (SYMBOLS, WIDTH), "Wq": (WIDTH, WIDTH), "Wk": (WIDTH, WIDTH), "Wv": (WIDTH, WIDTH),
+           "Wr": (WIDTH, WIDTH), "bias": (SPAN,), "G": (WIDTH, GROUPS), "g0": (GROUPS,),
+           "M": (GROUPS, WIDTH, MEMBERS), "m0": (GROUPS, MEMBERS)}
 
 
 class Lexicon:
@@ -205,142 +223,180 @@ def shaped(x: np.ndarray) -> dict[str, np.ndarray]:
 
 def windows(texts: list[np.ndarray], lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of each window, the ids it scores (-1 past the end), and its text."""
-    sizes = np.array([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts], np.int64)
     counts = -(-sizes // STEP)
     # Each text lies in a line of its own: padding, start, ids, padding.
-    room = STEP - 1 + 1 + counts * STEP + STEP
+    room = SPAN + counts * STEP
     base = np.cumsum(room) - room
-    ids = np.full(int(room.sum()), -1)
+    ids = np.full(int(room.sum()), -1, np.int32)
     every = np.concatenate(texts) if texts else np.zeros(0, int)
-    place = np.repeat(base + STEP, sizes) + np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    place = np.repeat(base + SPAN, sizes) + np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     ids[place] = every
-    syms = np.where(ids >= 0, lexicon.cls[ids], PAD)
-    syms[base + STEP - 1] = START
+    syms = np.full(len(ids), PAD, np.int32)
+    syms[place] = lexicon.cls[every]
+    syms[base + SPAN - 1] = START
     owner = np.repeat(np.arange(len(texts)), counts)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     start = base[owner] + nth * STEP
-    return syms[start[:, None] + np.arange(2 * STEP - 1)], ids[start[:, None] + STEP + np.arange(STEP)], owner
+    return syms[start[:, None] + np.arange(STEP + SPAN - 1)], ids[start[:, None] + SPAN + np.arange(STEP)], owner
+
+
+class Tables:
+    """What the weights say for each class, and for each pair of them."""
+
+    def __init__(self, p: dict):
+        self.q, self.k = p["E"] @ p["Wq"] / np.sqrt(p["E"].dtype.type(WIDTH)), p["E"] @ p["Wk"]
+        s = self.q @ self.k.T
+        s -= s.max(axis=1, keepdims=True)
+        self.pairs = np.exp(np.maximum(s, -60, out=s), out=s)
+        self.pairs[:, PAD] = 0  # the mask: nothing attends to padding
+        self.pairs[PAD] = 1  # places past the end are not scored
+        self.pairs = self.pairs.ravel()
+        self.v, self.r = np.ascontiguousarray((p["E"] @ p["Wv"]).T), np.ascontiguousarray((p["E"] @ p["Wr"]).T)
+        self.near = np.exp(p["bias"])
+
+
+def _back(d: int) -> slice:
+    """The symbols ``d`` places before those a window starts from."""
+    return slice(SPAN - 1 - d, SPAN - 1 - d + STEP)
+
+
+def _attend(t: Tables, syms: np.ndarray) -> tuple:
+    """Outputs, contexts (a row per channel), weights and their sums, values and
+    places in the table of pairs. Masked attention of whole windows."""
+    last = syms[:, _back(0)]
+    row = last * np.int32(SYMBOLS)
+    v = t.v.take(syms, axis=1)
+    at = np.stack([row + syms[:, _back(d)] for d in range(SPAN)])
+    w = t.pairs.take(at)
+    w *= t.near[:, None, None]
+    total = w.sum(axis=0)
+    c = np.zeros((WIDTH, *last.shape), v.dtype)
+    room = np.empty_like(c)
+    for d in range(SPAN):
+        c += np.multiply(v[:, :, _back(d)], w[d], out=room)
+    c /= total
+    h = t.r.take(last, axis=1)
+    h += c
+    return np.tanh(h, out=h), c, w, total, v, at
+
+
+def _targets(lexicon: Lexicon, want: np.ndarray) -> tuple:
+    """Places of real ids in the order of their group, groups, members, and the
+    groups that are there with where each begins and ends."""
+    real = np.flatnonzero(want >= 0)
+    cls = lexicon.cls[want[real]]
+    group = cls // MEMBERS
+    order = np.argsort(group.astype(np.int8), kind="stable")
+    real, cls, group = real[order], cls[order], group[order]
+    edges = np.searchsorted(group, np.arange(GROUPS + 1))
+    parts = [(g, slice(edges[g], edges[g + 1])) for g in range(GROUPS) if edges[g] < edges[g + 1]]
+    return real, group, cls % MEMBERS, parts
 
 
-def _tables(p: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
-    return p["E"] @ p["Wq"] / math.sqrt(WIDTH), p["E"] @ p["Wk"], p["E"] @ p["Wv"], p["E"] @ p["Wr"]
+def _bound(weights: np.ndarray, bias: np.ndarray) -> float:
+    """Of the logits, either sign: inputs are within -1 and 1."""
+    return float((np.abs(weights).sum(axis=-2) + np.abs(bias)).max())
 
 
 def _exp(x: np.ndarray, bound: float) -> np.ndarray:
-    """exp in place, scaled by row if ``bound`` on its values could overflow."""
+    """exp in place, each column scaled if it could overflow."""
     if bound > 60:
-        x -= x.max(axis=-1, keepdims=True)
+        x -= x.max(axis=0)
     return np.exp(x, out=x)
 
 
-def _softmax(x: np.ndarray, bound: float) -> np.ndarray:
-    e = _exp(x, bound)
-    e *= 1 / (e @ np.ones((x.shape[-1], 1), x.dtype))
-    return e
-
-
 def _log_share(x: np.ndarray, at: np.ndarray, bound: float) -> np.ndarray:
-    """Log softmax of each row of ``x`` at one place."""
+    """Log softmax of each column of ``x`` at one place."""
     if bound > 60:
-        x -= x.max(axis=-1, keepdims=True)
-    got = x[np.arange(len(x)), at]
-    return got - np.log(np.exp(x, out=x) @ np.ones(x.shape[-1], x.dtype))
-
-
-def _bound(weights: np.ndarray, bias: np.ndarray) -> float:
-    """Of the outputs: inputs are within -1 and 1."""
-    return float(np.abs(weights).sum(axis=0).max() + np.abs(bias).max())
+        x -= x.max(axis=0)
+    got = x[at, np.arange(x.shape[1])]
+    return got - np.log(np.exp(x, out=x).sum(axis=0))
 
 
-def _attend(p: dict, tables: tuple, syms: np.ndarray) -> tuple[np.ndarray, ...]:
-    last = syms[:, STEP - 1:]
-    q, k, v = tables[0].take(last, axis=0), tables[1].take(syms, axis=0), tables[2].take(syms, axis=0)
-    s = q @ k.transpose(0, 2, 1)
-    s += np.where(_REACH >= 0, p["bias"][np.maximum(_REACH, 0)], np.float32(-1e9))
-    longest = [float(np.sqrt((t * t).sum(axis=1).max())) for t in tables[:2]]
-    a = _softmax(s, longest[0] * longest[1] + float(np.abs(p["bias"]).max()))
-    h = a @ v
-    h += tables[3].take(last, axis=0)
-    return q, k, v, a, np.tanh(h, out=h)
+def _group_logits(p: dict, h: np.ndarray) -> np.ndarray:
+    x = p["G"].T @ h
+    x += p["g0"][:, None]
+    return x
 
 
-def _runs(order: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of ``names[order]``, sorted, and where each begins."""
-    x = names[order]
-    first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, int)
-    return x[first], first
+def _member_logits(p: dict, h: np.ndarray, parts: list) -> np.ndarray:
+    x = np.empty((MEMBERS, h.shape[1]), h.dtype)
+    for g, part in parts:
+        x[:, part] = p["M"][g].T @ h[:, part]
+        x[:, part] += p["m0"][g][:, None]
+    return x
 
 
 def score_windows(p: dict, lexicon: Lexicon, syms: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log probability of the ids each window scores."""
-    tables, out = _tables(p), np.zeros(len(syms))
-    wide, deep = _bound(p["G"], p["g0"]), max(_bound(w, b) for w, b in zip(p["M"], p["m0"]))
-    for at in range(0, len(syms), BATCH):
-        part = slice(at, at + BATCH)
-        h = _attend(p, tables, syms[part])[4].reshape(-1, WIDTH)
-        want = ids[part].ravel()
-        real = np.flatnonzero(want >= 0)
-        group = lexicon.cls[want[real]] // MEMBERS
-        order = np.argsort(group.astype(np.int8), kind="stable")
-        real = real[order]
-        h, want, group = h.take(real, axis=0), want[real], group[order]
-        member = lexicon.cls[want] % MEMBERS
-        got = lexicon.share[want] + _log_share(h @ p["G"] + p["g0"], group, wide)
-        names, first = _runs(np.arange(len(group)), group)
-        for g, lo, hi in zip(names, first, [*first[1:], len(group)]):
-            got[lo:hi] += _log_share(h[lo:hi] @ p["M"][g] + p["m0"][g], member[lo:hi], deep)
-        out[part] = np.bincount(real // STEP, got, len(out[part]))
+    t, out = Tables(p), np.zeros(len(syms))
+    wide, deep = _bound(p["G"], p["g0"]), _bound(p["M"], p["m0"])
+    for lo in range(0, len(syms), BLOCK):
+        block = slice(lo, lo + BLOCK)
+        want = ids[block].ravel()
+        real, group, member, parts = _targets(lexicon, want)
+        h = _attend(t, syms[block])[0].reshape(WIDTH, -1).take(real, axis=1)
+        got = lexicon.share[want[real]] + _log_share(_group_logits(p, h), group, wide)
+        got += _log_share(_member_logits(p, h, parts), member, deep)
+        out[block] = np.bincount(real // STEP, got, len(out[block]))
     return out
 
 
-def _table_grads(index: np.ndarray, *grads: np.ndarray) -> list[np.ndarray]:
-    """Per table, the rows of each gradient summed by index."""
-    index = index.ravel().astype(np.int16)
-    order = np.argsort(index, kind="stable")
-    names, first = _runs(order, index)
-    out = []
-    for grad in grads:
-        total = np.zeros(_SHAPES["E"], np.float32)
-        total[names] = np.add.reduceat(grad.reshape(-1, WIDTH).take(order, axis=0), first, axis=0)
-        out.append(total)
-    return out
+def _class_sums(index: np.ndarray, grads: np.ndarray) -> np.ndarray:
+    """A row per class: the columns of ``grads`` summed by their class."""
+    index = index.ravel()
+    return np.stack([np.bincount(index, g.ravel(), SYMBOLS) for g in grads], axis=1)
 
 
 def gradient(p: dict, lexicon: Lexicon, syms: np.ndarray, ids: np.ndarray) -> dict[str, np.ndarray]:
     """Gradient of the mean negative log probability of the classes."""
-    tables = _tables(p)
-    q, k, v, a, h = _attend(p, tables, syms)
-    want = ids.ravel()
-    real = np.flatnonzero(want >= 0)
-    group = lexicon.cls[want[real]] // MEMBERS
-    order = np.argsort(group.astype(np.int8), kind="stable")
-    real, group = real[order], group[order]
-    member = lexicon.cls[want[real]] % MEMBERS
-    x = h.reshape(-1, WIDTH).take(real, axis=0)
-    scale = np.float32(1 / max(1, len(real)))
-    dz = _softmax(x @ p["G"] + p["g0"], _bound(p["G"], p["g0"]))
-    dz[np.arange(len(real)), group] -= 1
-    g = {"G": x.T @ dz * scale, "g0": dz.sum(axis=0) * scale, "M": np.zeros_like(p["M"]), "m0": np.zeros_like(p["m0"])}
-    dx = dz @ p["G"].T
-    names, first = _runs(np.arange(len(group)), group)
-    for name, lo, hi in zip(names, first, [*first[1:], len(group)]):
-        dm = _softmax(x[lo:hi] @ p["M"][name] + p["m0"][name], _bound(p["M"][name], p["m0"][name]))
-        dm[np.arange(hi - lo), member[lo:hi]] -= 1
-        g["M"][name], g["m0"][name] = x[lo:hi].T @ dm * scale, dm.sum(axis=0) * scale
-        dx[lo:hi] += dm @ p["M"][name].T
-    dx *= scale
-    dx *= 1 - x * x
-    dh = np.zeros((h.shape[0] * h.shape[1], WIDTH), np.float32)
-    dh[real] = dx
-    dh = dh.reshape(h.shape)
-    ds = dh @ v.transpose(0, 2, 1)
-    ds *= a
-    ds -= a * (ds @ np.ones((ds.shape[2], 1), ds.dtype))
-    by_reach = np.bincount(np.maximum(_REACH, 0).ravel(), ds.sum(axis=0).ravel(), 2 * STEP - 1)
-    g["bias"] = by_reach.astype(np.float32)
-    dq, dr = _table_grads(syms[:, STEP - 1:], ds @ k, dh)
-    dk, dv = _table_grads(syms, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh)
-    dq = dq * np.float32(1 / math.sqrt(WIDTH))
+    t, kind = Tables(p), p["E"].dtype
+    wide, deep = _bound(p["G"], p["g0"]), _bound(p["M"], p["m0"])
+    scale = kind.type(1 / max(1, int((ids >= 0).sum())))
+    g = {k: np.zeros_like(p[k]) for k in ("bias", "G", "g0", "M", "m0")}
+    dv, dr, places, slopes = np.zeros((SYMBOLS, WIDTH)), np.zeros((SYMBOLS, WIDTH)), [], []
+    for lo in range(0, len(syms), BLOCK):
+        block = slice(lo, lo + BLOCK)
+        h, c, w, total, v, at = _attend(t, syms[block])
+        real, group, member, parts = _targets(lexicon, ids[block].ravel())
+        x = h.reshape(WIDTH, -1).take(real, axis=1)
+        each = np.arange(len(real))
+        dz = _exp(_group_logits(p, x), wide)
+        dz /= dz.sum(axis=0)
+        dz[group, each] -= 1
+        dz *= scale
+        g["G"] += x @ dz.T
+        g["g0"] += dz.sum(axis=1)
+        dx = p["G"] @ dz
+        dm = _exp(_member_logits(p, x, parts), deep)
+        dm /= dm.sum(axis=0)
+        dm[member, each] -= 1
+        dm *= scale
+        for name, part in parts:
+            g["M"][name] += x[:, part] @ dm[:, part].T
+            g["m0"][name] += dm[:, part].sum(axis=1)
+            dx[:, part] += p["M"][name] @ dm[:, part]
+        dx *= 1 - x * x
+        dh = np.zeros((WIDTH, h.shape[1] * STEP), kind)
+        dh[:, real] = dx
+        dh = dh.reshape(h.shape)
+        w /= total
+        mean = (dh * c).sum(axis=0)
+        dvs, room = np.zeros_like(v), np.empty_like(dh)
+        for d in range(SPAN):
+            ds = np.einsum("kns,kns->ns", dh, v[:, :, _back(d)])
+            dvs[:, :, _back(d)] += np.multiply(dh, w[d], out=room)
+            ds -= mean
+            w[d] *= ds
+        g["bias"] += w.sum(axis=(1, 2))
+        places.append(at.ravel())
+        slopes.append(w.ravel())
+        dv += _class_sums(syms[block], dvs)
+        dr += _class_sums(syms[block][:, _back(0)], dh)
+    ds = np.bincount(np.concatenate(places), np.concatenate(slopes), SYMBOLS * SYMBOLS).astype(kind).reshape(SYMBOLS, SYMBOLS)
+    dv, dr = dv.astype(kind), dr.astype(kind)
+    dq, dk = ds @ t.k / np.sqrt(kind.type(WIDTH)), ds.T @ t.q
     g["E"] = dq @ p["Wq"].T + dk @ p["Wk"].T + dv @ p["Wv"].T + dr @ p["Wr"].T
     g["Wq"], g["Wk"], g["Wv"], g["Wr"] = (p["E"].T @ d for d in (dq, dk, dv, dr))
     return g
@@ -356,8 +412,11 @@ class Trainer:
 
     def learn(self, texts: list[np.ndarray]) -> None:
         syms, ids, _ = windows(texts, self.lexicon)
-        for at in range(0, len(syms), BATCH):
-            g = gradient(self.p, self.lexicon, syms[at:at + BATCH], ids[at:at + BATCH])
+        at = 0
+        while at < len(syms):
+            n = min(BATCH, FIRST << min(self.steps // RAMP, 20))
+            g = gradient(self.p, self.lexicon, syms[at:at + n], ids[at:at + n])
+            at += n
             self.steps += 1
             for k, x in g.items():
                 self.m[k] += 0.1 * (x - self.m[k])
@@ -369,96 +428,109 @@ class Trainer:
 
 # --- counts ---------------------------------------------------------------------
 
-def _count(path: str | None):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sub = Subwords.load(path)
-        counts: Counter = Counter()
-        texts = 0
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter = Counter()
+    texts = 0
+
+    def send() -> pa.RecordBatch:
+        keys = np.concatenate([word_hashes(list(counts)), [END_WORD]])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([*counts.values(), texts], pa.int64())], ["key", "n"])
+
+    for batch in batches:
+        for text in batch.column("text"):
+            counts.update(words_of(text.as_py()))
+            texts += 1
+            if len(counts) >= HELD_WORDS:
+                yield send()
+                counts.clear()
+                texts = 0
+    if texts:
+        yield send()
 
-        def send() -> pa.RecordBatch:
-            words, times = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
-            ids = np.zeros(sub.size, np.int64)
-            for at in range(0, len(words), 50_000):
-                got = sub.encode(words[at:at + 50_000])
-                many = np.repeat(times[at:at + 50_000], [len(x) for x in got])
-                ids += np.bincount(np.fromiter(chain.from_iterable(got), np.int64, len(many)), many, sub.size).astype(np.int64)
-            ids[sub.end] += texts
-            some = np.flatnonzero(ids)
-            keys = np.concatenate([word_hashes(words), [END_WORD], some])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat([0, 1], [len(words) + 1, len(some)]), pa.int32()), pa.array(keys, pa.int64()),
-                 pa.array(np.concatenate([times, [texts], ids[some]]), pa.int64())], ["kind", "key", "n"])
 
+def _count_ids(size: int, kind: str):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            for text in batch.column("text"):
-                counts.update(words_of(text.as_py()))
-                texts += 1
-                if len(counts) >= HELD_WORDS:
-                    yield send()
-                    counts.clear()
-                    texts = 0
-        if texts:
-            yield send()
+            every = [np.frombuffer(x.as_py(), kind) for x in batch.column("ids")]
+            if every:
+                total += np.bincount(np.concatenate(every), minlength=size)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["key", "n"])
 
     return task
 
 
-def _train(path: str | None, lexicon, start):
+def _train(lexicon, start, kind: str):
+    """A trainer per lane; rows come sorted by lane."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+        trainer, now = None, None
+        held: list[np.ndarray] = []
+        n = 0
+
+        def done() -> pa.RecordBatch:
+            trainer.learn(held)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([now], pa.int32()), pa.array([trainer.seen], pa.int64()),
+                 pa.array([flat(trainer.p).tolist()], pa.list_(pa.float64()))], ["lane", "seen", "weights"])
 
-        sub = Subwords.load(path)
-        trainer = Trainer(shaped(start.value), lexicon.value)
-        held, n = [], 0
         for batch in batches:
-            for text in batch.column("text"):
-                held.append(sub.ids(words_of(text.as_py())))
+            for lane, ids in zip(batch.column("lane").to_pylist(), batch.column("ids")):
+                if lane != now:
+                    if trainer:
+                        yield done()
+                    trainer, now, held, n = Trainer(shaped(start.value), lexicon.value), lane, [], 0
+                held.append(np.frombuffer(ids.as_py(), kind))
                 n += len(held[-1])
                 if n >= 200_000:
                     trainer.learn(held)
                     held, n = [], 0
-        if held:
-            trainer.learn(held)
-        if trainer.seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId() % LANES], pa.int32()), pa.array([trainer.seen], pa.int64()),
-                 pa.array([(flat(trainer.p).astype(np.float64) * trainer.seen).tobytes()], pa.binary())], ["lane", "seen", "total"])
+        if trainer:
+            yield done()
 
     return task
 
 
-def _add(group: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py()) for x in group.column("total"))
-    return pa.table({"lane": group.column("lane")[:1], "seen": pa.array([sum(group.column("seen").to_pylist())], pa.int64()),
-                     "total": pa.array([total.tobytes()], pa.binary())})
-
-
-def fit(training: DataFrame, lexicon: Lexicon, path: str | None) -> np.ndarray:
-    """The weights after both rounds. At most ``LANES`` weight vectors of fixed
-    size reach the driver in a round."""
+def fit(training: DataFrame, lexicon: Lexicon, n_words: int) -> np.ndarray:
+    """The weights after both rounds, from rows (row, ids). One row per weight
+    reaches the driver in a round."""
     sc = training.sparkSession.sparkContext
-    lex = sc.broadcast(lexicon)
+    lex, kind = sc.broadcast(lexicon), id_kind(len(lexicon.cls)).str
     weights = flat(initial(lexicon))
-    eighth = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(8))
+    lanes = max(1, -(-n_words // LANE_WORDS))
+    eighth = F.pmod(F.xxhash64(F.lit(SEED), "row"), F.lit(8))
+    lane = F.pmod(F.xxhash64(F.lit(SEED + 1), "row"), F.lit(lanes)).cast("int")
     for part in (eighth == 0, eighth != 0):
-        rows = (training.where(part).select("text")
-                .mapInArrow(_train(path, lex, sc.broadcast(weights)), "lane int, seen long, total binary")
-                .groupBy("lane").applyInArrow(_add, "lane int, seen long, total binary").collect())
+        dealt = (training.where(part).select(lane.alias("lane"), "row", "ids")
+                 .repartitionById(lanes, "lane").sortWithinPartitions("lane", "row"))
+        got = dealt.mapInArrow(_train(lex, sc.broadcast(weights), kind), "lane int, seen long, weights array<double>")
+        # Whole numbers: their sums are the same in any order.
+        whole = F.round(F.col("w") * F.lit(2.0**24)).cast("long") * F.col("seen")
+        rows = (got.select("seen", F.posexplode("weights").alias("at", "w")).groupBy("at")
+                .agg(F.sum(whole.cast("decimal(38,0)")).alias("w"), F.sum("seen").alias("seen")).collect())
         if rows:
-            weights = sum(np.frombuffer(bytes(r.total)) for r in rows) / sum(r.seen for r in rows)
+            weights = np.array([float(r.w) / r.seen / 2.0**24 for r in sorted(rows)])
     return weights
 
 
 # --- scoring --------------------------------------------------------------------
 
-def _score(path: str | None, lexicon, weights, head, end: tuple[int, float]):
-    """Per document: tokens, head words known, their base score, model score."""
+def _encode(path: str | None):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sub, p, lex, base = Subwords.load(path), shaped(weights.value), lexicon.value, head.value
-        looked = Lookup(lambda h: base.get(h, 0.0), np.float64)  # 0 for a word outside the head
+        sub = Subwords.load(path)
         for batch in batches:
-            texts = batch.column("text")
-            tokens, known, sums, scores = [], [], [], np.zeros(len(texts))
+            ids = [sub.ids(words_of(text.as_py())).tobytes() for text in batch.column("text")]
+            names = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(ids, pa.binary())], [*names, "ids"])
+
+    return task
+
+
+def _score(lexicon, weights, kind: str):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p, lex = shaped(weights.value), lexicon.value
+        for batch in batches:
+            scores = np.zeros(batch.num_rows)
             held: list[np.ndarray] = []
             first, n = 0, 0
 
@@ -466,23 +538,16 @@ def _score(path: str | None, lexicon, weights, head, end: tuple[int, float]):
                 syms, ids, owner = windows(held, lex)
                 scores[first:upto] = np.bincount(owner, score_windows(p, lex, syms, ids), len(held)) / math.log(10)
 
-            for i, text in enumerate(texts):
-                words = words_of(text.as_py())
-                values = looked.values_of(words)
-                tokens.append(len(words) + 1)
-                known.append(int(np.count_nonzero(values)) + end[0])
-                sums.append(float(values.sum()) + end[1])
-                held.append(sub.ids(words))
+            for i, ids in enumerate(batch.column("ids")):
+                held.append(np.frombuffer(ids.as_py(), kind))
                 n += len(held[-1])
                 if n >= 200_000:
                     flush(i + 1)
                     held, first, n = [], i + 1, 0
             if held:
-                flush(len(texts))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(sums, pa.float64()), pa.array(scores, pa.float64())],
-                ["doc_id", "row", "n_tokens", "known", "base", "score"])
+                flush(batch.num_rows)
+            names = [c for c in batch.schema.names if c != "ids"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(scores, pa.float64())], [*names, "score"])
 
     return task
 
@@ -490,16 +555,18 @@ def _score(path: str | None, lexicon, weights, head, end: tuple[int, float]):
 _PACKED = "bucket int, flush long, idx binary, key binary, doc binary, row binary"
 
 
-def _rare(head, buckets: int):
-    """Words outside the head, packed by bucket with the documents that hold them."""
+def _rare(head, end: tuple[int, float], buckets: int):
+    """Words outside the head, packed by bucket with the documents that hold them;
+    and in one bucket the documents themselves: their tokens, and of the head's
+    words and the end those known and their base score."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         flush, base = TaskContext.get().partitionId() << 24, head.value
         held: list[np.ndarray] = []
-        docs: list[int] = []
-        rows: list[int] = []
-        looked = Lookup(lambda h: 0 if h in base else h, np.int64)  # 0 for a word of the head
+        docs: list[tuple] = []
+        scores = Lookup(lambda h: base.get(h, 0.0), np.float64)  # 0 for a word outside the head
+        hashes = Lookup(lambda h: h, np.int64)
         n = 0
 
         def send() -> pa.RecordBatch:
@@ -510,8 +577,9 @@ def _rare(head, buckets: int):
             names, first = np.unique(bucket[order], return_index=True)
             out = [(b, flush, idx[order[lo:hi]].tobytes(), key[order[lo:hi]].astype("<i8").tobytes(), b"", b"")
                    for b, lo, hi in zip(names.tolist(), first, [*first[1:], len(key)])]
-            out.append((flush % buckets, flush, np.arange(len(held), dtype="<u4").tobytes(), b"",
-                        np.array(docs, "<i8").tobytes(), np.array(rows, "<i8").tobytes()))
+            doc, row, tokens, known, sums = (np.array(x, k) for x, k in zip(zip(*docs), ("<i8", "<i8", "<i8", "<i8", "<f8")))
+            out.append((flush % buckets, flush, np.arange(len(held), dtype="<u4").tobytes(),
+                        tokens.tobytes() + known.tobytes() + sums.tobytes(), doc.tobytes(), row.tobytes()))
             kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                               [x.split()[0] for x in _PACKED.split(", ")])
@@ -519,43 +587,47 @@ def _rare(head, buckets: int):
         for batch in batches:
             for doc, row, text in zip(batch.column("doc").to_pylist(), batch.column("row").to_pylist(), batch.column("text")):
                 words = words_of(text.as_py())
-                key = looked.values_of(words)
-                held.append(key[key != 0])
-                docs.append(doc)
-                rows.append(row)
-                n += len(held[-1]) + 1
+                values = scores.values_of(words)
+                other = np.flatnonzero(values == 0)
+                held.append(hashes.values_of([words[i] for i in other.tolist()]))
+                docs.append((doc, row, len(words) + 1, len(words) - len(other) + end[0], float(values.sum()) + end[1]))
+                n += len(other) + 1
                 if n >= 1_000_000:
                     yield send()
-                    held, docs, rows, n, flush = [], [], [], 0, flush + 1
+                    held, docs, n, flush = [], [], 0, flush + 1
         if held:
             yield send()
 
     return task
 
 
+_MET = {"flush": np.int64, "idx": np.int32, "tokens": np.int64, "known": np.int64, "sum": np.float64, "doc": np.int64, "row": np.int64}
+
+
 def _meet(total: float, floor: float):
     """Per document of a bucket: rare words known, and their sum."""
     def group(words: pa.Table, counts: pa.Table) -> pa.Table:
         key, c = counts.column("key").to_numpy(), counts.column("n").to_numpy()
         order = np.argsort(key)
         key, value = key[order], np.log10((c[order] + 0.1) / total)
-        out = {k: [] for k in ("flush", "idx", "known", "sum", "doc", "row")}
+        out = {k: [] for k in _MET}
         for f, i, k, d, r in zip(*(words.column(c).to_pylist() for c in ("flush", "idx", "key", "doc", "row"))):
             idx = np.frombuffer(i, "<u4")
             if d:
-                got = (idx, np.zeros(len(idx)), np.zeros(len(idx)), np.frombuffer(d, "<i8"), np.frombuffer(r, "<i8"))
+                tokens, known, sums = np.frombuffer(k, "<i8").reshape(3, -1)
+                got = (idx, tokens, known, sums.view("<f8"), np.frombuffer(d, "<i8"), np.frombuffer(r, "<i8"))
             else:
                 k = np.frombuffer(k, "<i8")
                 at = np.minimum(np.searchsorted(key, k), max(0, len(key) - 1))
                 hit = key[at] == k if len(key) else np.zeros(len(k), bool)
                 names, back = np.unique(idx, return_inverse=True)
-                got = (names, np.bincount(back, hit), np.bincount(back, np.where(hit, value[at] if len(key) else 0.0, floor)),
-                       np.full(len(names), -1), np.zeros(len(names), np.int64))
+                none = np.zeros(len(names), np.int64)
+                got = (names, none, np.bincount(back, hit), np.bincount(back, np.where(hit, value[at] if len(key) else 0.0, floor)),
+                       none - 1, none)
             out["flush"].append(np.full(len(got[0]), f))
-            for name, x in zip(("idx", "known", "sum", "doc", "row"), got):
+            for name, x in zip(("idx", "tokens", "known", "sum", "doc", "row"), got):
                 out[name].append(x)
-        kinds = {"flush": np.int64, "idx": np.int32, "known": np.int64, "sum": np.float64, "doc": np.int64, "row": np.int64}
-        return pa.table({k: np.concatenate(v).astype(kinds[k]) if v else np.zeros(0, kinds[k]) for k, v in out.items()})
+        return pa.table({k: np.concatenate(v).astype(_MET[k]) if v else np.zeros(0, _MET[k]) for k, v in out.items()})
 
     return group
 
@@ -570,10 +642,18 @@ def score_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     named = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"), F.encode("text", "UTF-8").alias("text"), r2.alias("row"),
                        (F.pmod(F.crc32(F.encode(named, "UTF-8")), F.lit(FOLDS)) == 0).alias("held_out"))
-    training = rows.where(~F.col("held_out")).select("doc_id", "text")
-    counts = cut(training.select("text").mapInArrow(_count(tokenizer), "kind int, key long, n long")
-                 .groupBy("kind", "key").agg(F.sum("n").alias("n")))
-    words = counts.where("kind = 0").select("key", "n")
+    sub = Subwords.load(tokenizer)
+    kind = id_kind(sub.size).str
+    doc_kind = rows.schema["doc_id"].dataType.simpleString()
+    encoded = land(rows.select("doc_id", "row", "held_out", "text").mapInArrow(
+        _encode(tokenizer), f"doc_id {doc_kind}, row long, held_out boolean, ids binary"))
+    training = encoded.where(~F.col("held_out")).select("row", "ids")
+    ids = np.zeros(sub.size)
+    for r in (training.select("ids").mapInArrow(_count_ids(sub.size, kind), "key long, n long")
+              .groupBy("key").agg(F.sum("n").alias("n")).collect()):  # at most a row per id of the tokenizer
+        ids[r.key] = r.n
+    words = cut(rows.where(~F.col("held_out")).select("text").mapInArrow(_count, "key long, n long")
+                .groupBy("key").agg(F.sum("n").alias("n")))
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = int(sums["n"] or 0), int(sums["v"])
     total = n + 0.1 * (v + 1)
@@ -583,27 +663,22 @@ def score_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     ends = words.where(F.col("key") == END_WORD).agg(F.sum("n")).first()[0] or 0
     end = (int(ends > 0), math.log10((ends + 0.1) / total))
     head = sc.broadcast({r.key: math.log10((r.n + 0.1) / total) for r in top if r.key != END_WORD})
-    ids = np.zeros(Subwords.load(tokenizer).size)
-    for r in counts.where("kind = 1").collect():  # at most a row per id of the tokenizer
-        ids[r.key] = r.n
-    lexicon = Lexicon(ids, Subwords.load(tokenizer).begins)
-    weights = sc.broadcast(fit(training, lexicon, tokenizer))
-    scored = rows.select("doc_id", "row", "text").mapInArrow(
-        _score(tokenizer, sc.broadcast(lexicon), weights, head, end),
-        f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row long, n_tokens long, known long, base double, score double")
-    buckets = shuffle_partitions(spark)
-    packed = rows.select("doc", "row", "text").mapInArrow(_rare(head, buckets), _PACKED)
+    lexicon = Lexicon(ids, sub.begins)
+    weights = sc.broadcast(fit(training, lexicon, n))
+    scored = encoded.mapInArrow(_score(sc.broadcast(lexicon), weights, kind),
+                                f"doc_id {doc_kind}, row long, held_out boolean, score double")
+    buckets = max(shuffle_partitions(spark), -(-n // BUCKET_WORDS))
+    packed = rows.select("doc", "row", "text").mapInArrow(_rare(head, end, buckets), _PACKED)
     tail = words.where(F.col("n") < least).withColumn("bucket", _unsigned_mod(F.col("key"), buckets))
     met = packed.groupBy("bucket").cogroup(tail.groupBy("bucket")).applyInArrow(
-        _meet(total, floor), "flush long, idx int, known long, sum double, doc long, row long")
-    rare = (met.groupBy("flush", "idx").agg(F.sum("known").alias("k"), F.sum("sum").alias("s"),
-                                            F.max(F.when(F.col("row") != 0, F.struct("doc", "row"))).alias("x"))
-            .groupBy(F.col("x.doc").alias("rd"), F.col("x.row").alias("rr")).agg(F.max("k").alias("rk"), F.max("s").alias("rs")))
+        _meet(total, floor), "flush long, idx int, tokens long, known long, sum double, doc long, row long")
+    base = (met.groupBy("flush", "idx").agg(F.max("tokens").alias("t"), F.sum("known").alias("k"), F.sum("sum").alias("s"),
+                                            F.max(F.when(F.col("tokens") > 0, F.struct("doc", "row"))).alias("x"))
+            .groupBy(F.col("x.doc").alias("rd"), F.col("x.row").alias("rr"))
+            .agg(F.max("t").alias("n_tokens"), F.max("k").alias("n_known"), F.max("s").alias("base_score")))
     same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)) == F.col("rd")) & (F.col("row") == F.col("rr"))
-    held = F.pmod(F.crc32(F.encode(named, "UTF-8")), F.lit(FOLDS)) == 0
-    return scored.join(rare, same, "left").select(
-        "doc_id", held.alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("rk", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rs", F.lit(0.0))).alias("base_score"), "score")
+    return scored.join(base, same, "left").select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def _unsigned_mod(key, buckets: int):

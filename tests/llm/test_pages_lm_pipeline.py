@@ -126,6 +126,44 @@ def test_scores_are_causal_and_sum_to_one():
     assert Counter(ids[ids >= 0].tolist()) == Counter(prefix.tolist())  # each id once
 
 
+def plain_attention(p, lexicon, text):
+    """Log probabilities of a text's ids, one after the other, without tables."""
+    symbols, out = [lm.START], []
+    for i in text:
+        span = symbols[-lm.SPAN:]
+        e = p["E"][span]
+        q, k, v = e[-1] @ p["Wq"] / math.sqrt(lm.WIDTH), e @ p["Wk"], e @ p["Wv"]
+        s = k @ q + p["bias"][:len(span)][::-1]
+        a = np.exp(s - s.max())
+        h = np.tanh(a @ v / a.sum() + e[-1] @ p["Wr"])
+        group, member = divmod(int(lexicon.cls[i]), lm.MEMBERS)
+        z = h @ p["G"] + p["g0"]
+        m = h @ p["M"][group] + p["m0"][group]
+        out.append(lexicon.share[i] + z[group] - np.log(np.exp(z).sum()) + m[member] - np.log(np.exp(m).sum()))
+        symbols.append(int(lexicon.cls[i]))
+    return out
+
+
+def test_batched_windows_equal_plain_attention():
+    rng = np.random.default_rng(4)
+    n = 2000
+    lexicon = lm.Lexicon(rng.integers(0, 50, n).astype(float), rng.random(n) < 0.5)
+    p = {k: v + rng.normal(size=v.shape) * 0.3 for k, v in lm.initial(lexicon).items()}
+    texts = [rng.integers(0, n, m) for m in (1, lm.STEP - 1, lm.STEP, lm.STEP + 1, 5 * lm.STEP + 7)]
+    syms, ids, owner = lm.windows(texts, lexicon)
+    got = np.bincount(owner, lm.score_windows(p, lexicon, syms, ids))
+    assert np.allclose(got, [sum(plain_attention(p, lexicon, t)) for t in texts], rtol=1e-6)
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LANE_WORDS", 3_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    runs = [{r.doc_id: r.score for r in lm.score_documents(docs.repartition(n)).collect()} for n in (1, 6, 50)]
+    assert len(runs[0]) == docs.count()
+    for run in runs[1:]:
+        assert max(abs(run[k] - x) / abs(x) for k, x in runs[0].items()) < 1e-3
+
+
 def brute_base(rows):
     words = lambda t: (t or "").encode().translate(lm._FOLD).split() + [b""]
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
@@ -206,4 +244,4 @@ def test_stages_handle_awkward_rows_and_empty_tables(spark):
 
 def test_every_operator_is_registered_once():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
