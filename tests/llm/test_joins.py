@@ -75,6 +75,41 @@ def test_large_groups_go_through_blocks(spark, monkeypatch):
     assert got == brute_join(rows)
 
 
+@pytest.mark.parametrize("held,bytes_", [(400, 2_000), (2_000_000, 64 * 1024 * 1024)])
+def test_screen_counts_what_others_hold(spark, monkeypatch, held, bytes_):
+    monkeypatch.setattr(jaccard, "HELD_SHINGLES", held)
+    monkeypatch.setattr(jaccard, "BUCKET_BYTES", bytes_)
+    passage = prose(800, 30)
+    texts = [prose(810 + k, 20) + " " + passage * (k % 3 > 0) for k in range(40)] + [passage, passage, "one two", "one two", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.total, r.shared) for r in jaccard.shared_counts(jaccard._rows(df)).collect()}
+    sets = [word_sets(t) for t in texts]
+    times = Counter(x for s in sets for x in s)
+    assert got == {k: (len(s), sum(times[x] > 1 for x in s)) for k, s in enumerate(sets)}
+
+
+def test_links_of_a_few_sets_join_what_is_similar():
+    rng = np.random.default_rng(7)
+    for _ in range(30):
+        base = rng.integers(0, 2**63, 60, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([rng.permutation(base)[:int(rng.integers(40, 61))],
+                                          rng.integers(0, 2**63, int(rng.integers(0, 8)), dtype=np.uint64)])) for _ in range(12)]
+        comp = rng.integers(0, 4, 12)
+        got, want = Groups(), Groups()
+        for k in range(12):
+            for g in (got, want):
+                g.link(("c", int(comp[k])), ("d", k))
+        links = jaccard.set_links(np.arange(12), comp, sets)
+        for a, b in links:
+            assert jaccard.similar(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))
+            got.link(("d", a), ("d", b))
+        for a in range(12):
+            for b in range(a):
+                if jaccard.similar(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b])):
+                    want.link(("d", a), ("d", b))
+        assert len(links) < 12 and {k: got.root(("d", k)) for k in range(12)} == {k: want.root(("d", k)) for k in range(12)}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(3, 400), st.integers(0, 10**6))
 def test_similar_sets_share_a_signature(size, seed):
