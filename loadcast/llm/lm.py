@@ -601,37 +601,47 @@ def _rare(head, end: tuple[int, float], buckets: int):
     return task
 
 
-_MET = {"flush": np.int64, "idx": np.int32, "tokens": np.int64, "known": np.int64, "sum": np.float64, "doc": np.int64, "row": np.int64}
+_MET = "flush long, idx binary, known binary, sums binary, doc binary, row binary"
 
 
 def _meet(total: float, floor: float):
-    """Per document of a bucket: rare words known, and their sum."""
+    """For each flush of a bucket, packed: rare words known, and their sum, of its
+    documents. The rows that list a flush's documents pass through."""
     def group(words: pa.Table, counts: pa.Table) -> pa.Table:
         key, c = counts.column("key").to_numpy(), counts.column("n").to_numpy()
         order = np.argsort(key)
         key, value = key[order], np.log10((c[order] + 0.1) / total)
-        out = {k: [] for k in _MET}
+        out = []
         for f, i, k, d, r in zip(*(words.column(c).to_pylist() for c in ("flush", "idx", "key", "doc", "row"))):
-            idx = np.frombuffer(i, "<u4")
             if d:
-                tokens, known, sums = np.frombuffer(k, "<i8").reshape(3, -1)
-                got = (idx, tokens, known, sums.view("<f8"), np.frombuffer(d, "<i8"), np.frombuffer(r, "<i8"))
-            else:
-                k = np.frombuffer(k, "<i8")
-                at = np.minimum(np.searchsorted(key, k), max(0, len(key) - 1))
-                hit = key[at] == k if len(key) else np.zeros(len(k), bool)
-                names, back = np.unique(idx, return_inverse=True)
-                none = np.zeros(len(names), np.int64)
-                got = (names, none, np.bincount(back, hit), np.bincount(back, np.where(hit, value[at] if len(key) else 0.0, floor)),
-                       none - 1, none)
-            out["flush"].append(np.full(len(got[0]), f))
-            for name, x in zip(("idx", "tokens", "known", "sum", "doc", "row"), got):
-                out[name].append(x)
-        return pa.table({k: np.concatenate(v).astype(_MET[k]) if v else np.zeros(0, _MET[k]) for k, v in out.items()})
+                out.append((f, i, k, b"", d, r))
+                continue
+            k = np.frombuffer(k, "<i8")
+            at = np.minimum(np.searchsorted(key, k), max(0, len(key) - 1))
+            hit = key[at] == k if len(key) else np.zeros(len(k), bool)
+            names, back = np.unique(np.frombuffer(i, "<u4"), return_inverse=True)
+            sums = np.bincount(back, np.where(hit, value[at] if len(key) else 0.0, floor))
+            out.append((f, names.astype("<u4").tobytes(), np.bincount(back, hit).astype("<u4").tobytes(), sums.astype("<f8").tobytes(), b"", b""))
+        kinds = (pa.int64(), *[pa.binary()] * 5)
+        columns = list(zip(*out)) if out else [[]] * 6
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in _MET.split(", ")])
 
     return group
 
 
+def _gather(group: pa.Table) -> pa.Table:
+    """Tokens, known ones and base score of the documents of one flush."""
+    rows = sorted(zip(*(group.column(c).to_pylist() for c in ("idx", "known", "sums", "doc", "row"))), key=lambda x: (not x[3], x[0], x[2]))
+    _, numbers, _, doc, row = rows[0]  # the list of the documents
+    tokens, known, base = np.frombuffer(numbers, "<i8").reshape(3, -1).copy()
+    base = base.view("<f8")
+    for i, n, s, *_ in rows[1:]:
+        at = np.frombuffer(i, "<u4")  # an index once in a row
+        known[at] += np.frombuffer(n, "<u4")
+        base[at] += np.frombuffer(s, "<f8")
+    return pa.table({"doc": np.frombuffer(doc, "<i8"), "row": np.frombuffer(row, "<i8"), "tokens": tokens, "known": known, "base": base})
+
+
 def score_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of
     every row of ``docs``. ``tokenizer``: path of a SentencePiece model that
@@ -670,12 +680,10 @@ def score_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     buckets = max(shuffle_partitions(spark), -(-n // BUCKET_WORDS))
     packed = rows.select("doc", "row", "text").mapInArrow(_rare(head, end, buckets), _PACKED)
     tail = words.where(F.col("n") < least).withColumn("bucket", _unsigned_mod(F.col("key"), buckets))
-    met = packed.groupBy("bucket").cogroup(tail.groupBy("bucket")).applyInArrow(
-        _meet(total, floor), "flush long, idx int, tokens long, known long, sum double, doc long, row long")
-    base = (met.groupBy("flush", "idx").agg(F.max("tokens").alias("t"), F.sum("known").alias("k"), F.sum("sum").alias("s"),
-                                            F.max(F.when(F.col("tokens") > 0, F.struct("doc", "row"))).alias("x"))
-            .groupBy(F.col("x.doc").alias("rd"), F.col("x.row").alias("rr"))
-            .agg(F.max("t").alias("n_tokens"), F.max("k").alias("n_known"), F.max("s").alias("base_score")))
+    met = packed.groupBy("bucket").cogroup(tail.groupBy("bucket")).applyInArrow(_meet(total, floor), _MET)
+    base = (met.groupBy("flush").applyInArrow(_gather, "doc long, row long, tokens long, known long, base double")
+            .groupBy(F.col("doc").alias("rd"), F.col("row").alias("rr"))
+            .agg(F.max("tokens").alias("n_tokens"), F.max("known").alias("n_known"), F.max("base").alias("base_score")))
     same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)) == F.col("rd")) & (F.col("row") == F.col("rr"))
     return scored.join(base, same, "left").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
