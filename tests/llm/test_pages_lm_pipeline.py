@@ -225,8 +225,10 @@ def test_pipeline_matches_a_brute_force_version(spark):
         ids = model.encode(texts[i])
         want[i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
              hashlib.sha256(model.decode(ids).encode()).hexdigest()] += times.get(i, 0)
-    got = Counter(tuple(r) for r in corpus_pipeline.run(spark, SF).collect())
+    found = corpus_pipeline.run(spark, SF).collect()
+    got = Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in found)
     assert got == +want
+    assert all(hashlib.sha256(np.array(r.ids, "<u4").tobytes()).hexdigest() == r.ids_sha256 for r in found)
 
 
 def test_stages_handle_awkward_rows_and_empty_tables(spark):
