@@ -42,7 +42,7 @@ def summary(df: DataFrame, width: int = 160) -> str:
 
 def main(sf_dir: str = "/root/testdata/sf0.1") -> None:
     from ..operators.clean import area_means, complete_rows
-    from ..operators.paging import page, page_count
+    from ..operators.paging import build_page_index, page_count, preview_index, read_page
     from ..operators.score import predict_hours, wide_result
     from ..operators.split import hash_split
     from ..operators.train import fit_hours
@@ -64,6 +64,7 @@ def main(sf_dir: str = "/root/testdata/sf0.1") -> None:
     cleaned = spark.read.parquet(f"{root}/cleaned")
     train, test = hash_split(complete_rows(cleaned))
     models = fit_hours(train, "ridge", LABELS[:2])
+    index = build_page_index(cleaned, f"{root}/index")
     steps = {
         "meter_day (events → raw meter-day table)": md,
         "area means (raw → one row per area)": area_means(raw),
@@ -73,7 +74,8 @@ def main(sf_dir: str = "/root/testdata/sf0.1") -> None:
         "scoring (test rows → predictions, relative errors)":
             wide_result(predict_hours(test, models, 4, keep=list(RESULT_CONTEXT)),
                         list(models)),
-        "page 3": page(cleaned, 3),
+        "page 3 (of a stored index)": read_page(spark, index, 3),
+        "preview (of a stored index)": preview_index(spark, index),
         "page count": page_count(cleaned),
     }
     print(f"# Physical plans ({sf_dir}, local[8], AQE on; initial plans)\n")
