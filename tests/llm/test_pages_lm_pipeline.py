@@ -2,6 +2,7 @@ import hashlib
 import html
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -44,11 +45,35 @@ def test_page_extraction_equals_the_articles(spark):
     ("<article><script>var a='<p>no</p>'</script><style>p{}</style><!-- <p>no</p> --><p>yes", "yes"),
     ("<article><p title='a > b' class=\"with-sidebar\">q</p><p hidden>no</p><p style='display: none'>no</p></article>", "q"),
     ("", ""), ("<article></article>", ""),
+    ("<p data-x=don't>one</p><p>it's two</p><p>three</p>", "one\nit's two\nthree"),
+    ("<p title='open>one</p><p>two</p>", "one\ntwo"),
+    ("<main><h1>Title</h1><article><p>x</p></article></main><p>out</p>", "Title\nx"),
+    ("<article class=comment>no</article><article class='advert'>no</article><article><p>yes</p></article>", "yes"),
+    ("<article><p>long story text</p></article><article><h3><a href=x>Read this other</a></h3></article>", "long story text"),
+    ("<article><h3><a href=x>only links</a></h3></article>", "only links"),
+    *[(f"<article><p class='{c}'>in</p><p id={c}>too</p></article>", "in\ntoo")
+      for c in "social-science share-price notice-period search-results-explained login-stats no-sidebar".split()],
+    *[(f"<article><p>in</p><div class='x {c}'>out</div></article>", "in")
+      for c in "site-footer ad-slot-2 comment_list cookie-notice related-articles newsletter-box share-buttons".split()],
+    ("<article><p class=ad>x<p>story</article>", "story"),
+    ("<article><div>a <span class='ad'>x</div><p>story</article>", "a\nstory"),
+    ("<article>a <svg/>b<svg><title>t</title><path/></svg> c 1 < 2</article>", "a b c 1 < 2"),
+    ("<div>story</div><div class=comments><article>c</article></div>", "story"),
+    ("<article><div>a</div></div><p>b</article>", "a\nb"),
 ])
 def test_lines_of_a_page(body, want):
     assert pagetext.main_text(pagetext.read_lines(page(body))) == want
 
 
+def test_broken_markup_is_read_once():
+    for piece in ("<a ", '<a "b ', "<", "<!--", '<a x="', "<p class=ad>", "<article>", "<li>", "<b></i>"):
+        begun = time.process_time()
+        pagetext.read_lines((piece * 2**20)[:2**20])
+        assert time.process_time() - begun < 10  # quadratic reading takes hours
+    many = "<article>" * 50_000 + "</main>" * 50_000 + "</section>" * 50_000
+    assert pagetext.read_lines(many + "x") == [("x", pagetext.ARTICLE)]
+
+
 def brute_common(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
@@ -67,6 +92,20 @@ def test_common_lines_are_a_longest_subsequence():
         assert all(x in it for x in (a[i] for i in got))
 
 
+def test_common_lines_of_long_pages(monkeypatch):
+    rng = np.random.default_rng(5)
+    pairs = [[rng.integers(0, 5, rng.integers(0, 60)).tolist() for _ in range(2)] for _ in range(60)]
+    whole = [len(pagetext.common(a, b)) for a, b in pairs]
+    monkeypatch.setattr(pagetext, "TABLE_BITS", 40)  # halved again and again
+    for (a, b), n in zip(pairs, whole):
+        got = sorted(pagetext.common(a, b))
+        it = iter(b)
+        assert len(got) == n == brute_common(a, b) and all(x in it for x in (a[i] for i in got))
+    monkeypatch.undo()
+    repeated = rng.integers(0, 2, 8000).tolist()  # two lines, thousands of times each
+    assert len(pagetext.common(repeated, repeated[1:] + [7])) == 7999
+
+
 def test_articles_in_frames_behind_the_main_article_are_no_text():
     main = "<header><div>h<article><p>story</p></article></div></header>"
     for frame in ("<section class=comments><article><p>reader</p></article><article><p>other</p></article></section>",
@@ -88,6 +127,56 @@ def test_pages_without_article_lose_shared_lines(spark):
     assert pagetext.extract_pages(df.limit(0)).count() == 0
 
 
+def test_large_frames_and_copies_are_told_apart(spark):
+    menu = "".join(f"<li>menu {k}" for k in range(30))
+    body = "<ul>" + menu + "</ul><p>own {0} a</p><p>own {0} b</p><p>own {0} c</p>"
+    rows = [(k, f"http://h/{k}", page(body.format(k))) for k in range(4)]
+    rows += [(10 + k, f"http://h/copy/{k}", rows[2][2]) for k in range(3)]
+    rows += [(20, "http://g/1", page("<p>a</p><p>b</p>")), (21, "http://g/2", page("<p>a</p><p>x</p><p>b</p>"))]
+    out = {r.page_id: r.text for r in pagetext.extract_pages(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(4):
+        assert out[k] == f"own {k} a\nown {k} b\nown {k} c"
+    assert all(out[10 + k] == out[2] for k in range(3))
+    assert (out[20], out[21]) == ("a\nb", "x")  # the longer version says nothing about the shorter
+
+
+def test_differencing_equals_brute_force(spark):
+    # Lines come in one order and once a page, so the lines two pages share are
+    # their only longest common subsequence.
+    rng = np.random.default_rng(6)
+    rows, sites = [], {}
+    for k in range(160):
+        host = f"h{min(k % 7, 2)}.example"
+        path, rest = (f"/{rng.integers(0, 60):02}", f"?v={k}") if k % 3 else (f"/{k % 60:02}/{k}", "")
+        marks = [("<div>{}</div>", 0), ("<h1>{}</h1>", 1), ("<main>{}</main>", 2), ("<article>{}</article>", 3)]
+        kinds = marks[:1] if k % 4 == 0 else marks[:2] if k % 4 == 1 else marks[:3] if k % 4 == 2 else marks
+        lines = [(f"line {n}", *kinds[rng.integers(0, len(kinds))]) for n in sorted(rng.choice(14, rng.integers(0, 9), replace=False))]
+        rows.append((k, f"http://{host}{path}{rest}", page("".join(form.format(t) for t, form, _ in lines))))
+        best = max((m for _, _, m in lines), default=0)
+        best = 0 if best == 1 else best
+        states = tuple(2 if not best or best > m > 0 else 1 if m == best else 0 for _, _, m in lines)
+        key = (tuple(t for t, _, _ in lines), states)
+        pages = sites.setdefault(host, {})
+        if lines:
+            pages[key] = min(pages.get(key, ("~", "")), (path, rest))
+        rows[-1] += (host, key)
+    want = {}
+    for k, _, _, host, key in rows:
+        ordered = sorted(sites[host], key=lambda x: sites[host][x])
+        at = ordered.index(key) if key in ordered else 0
+        gone = set()
+        for n in (at - 1, at + 1):
+            if key[0] and 0 <= n < len(ordered) and not set(key[0]) <= set(ordered[n][0]):
+                gone |= set(key[0]) & set(ordered[n][0])
+        want[k] = "\n".join(t for t, s in zip(*key) if s == 1 or s == 2 and t not in gone)
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    for parts in (1, 5):
+        out = {r.page_id: (r.text, r.n_chars) for r in pagetext.extract_pages(df.repartition(parts)).collect()}
+        assert out == {k: (t, len(t)) for k, t in want.items()}
+    assert len({r[4] for r in rows}) > 100 and sum(t.count("\n") for t in want.values()) > 50
+
+
 # --- language model ----------------------------------------------------------------
 
 def test_gradient_matches_differences():
