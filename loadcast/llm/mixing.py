@@ -11,11 +11,11 @@ each partition, which is a random permutation of the whole mix.
 Everything is built-in functions. The cumulative probabilities are one small
 array per source, reaching to where the tail is below the resolution of the
 uniform number; nothing is cut off a rate, however large. The per-source table is
-broadcast when it has at most ``BROADCAST_SOURCES`` rows and otherwise joined on
-the source, where skewed partitions can be split.
+broadcast when its names and arrays have at most ``BROADCAST_BYTES`` and otherwise
+joined on the source, where skewed partitions can be split.
 
-Rows: a null source is a source of its own. Null ``doc_id`` is hashed as the text
-'null'. Repeated rows get the same count and key each. Null or empty texts are
+Rows: a null source is a source of its own. A row without ``doc_id`` draws
+by its text. Repeated rows get the same count and key each. Null or empty texts are
 mixed like others. A source without a weight gets none of the mix when weights
 are given. An empty table gives an empty result. Extra columns pass; the added
 columns take free names.
@@ -33,7 +33,7 @@ from loadcast.llm.text import fresh
 SEED = "mix-1"
 #: Without given weights a source's share grows with its rows to this power.
 POWER = 0.5
-BROADCAST_SOURCES = 100_000
+BROADCAST_BYTES = 32 << 20
 HEX_DIGITS = 13
 
 
@@ -43,6 +43,12 @@ def uniform(seed: str, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(named), 1, HEX_DIGITS), 16, 10).cast("long") / F.lit(float(16 ** HEX_DIGITS))
 
 
+def _identity(docs: DataFrame) -> Column:
+    """What a document draws by: its id, else its text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")) if "text" in docs.columns else F.lit("")
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(text)))
+
+
 def rates(docs: DataFrame, weights: dict | None = None, power: float = POWER) -> DataFrame:
     """(source, rows, rate) of each source."""
     counts = docs.groupBy("source").agg(F.count("*").alias("rows"))
@@ -77,15 +83,17 @@ def mix(docs: DataFrame, weights: dict | None = None, seed: str = SEED, power: f
     copy, n_copies, key = (fresh(docs.columns, n) for n in ("copy", "n_copies", "shuffle_key"))
     source, cdf = fresh(docs.columns, "mix_source"), fresh(docs.columns, "cdf")
     table = cut(cumulative(rates(docs, weights, power))).withColumnsRenamed({"source": source, "cdf": cdf})
-    if table.count() <= BROADCAST_SOURCES:
+    held = table.agg(F.sum(8 * F.size(cdf) + F.coalesce(F.octet_length(F.col(source).cast("string")), F.lit(0)) + 32)
+                     .alias("bytes")).first()["bytes"] or 0
+    if held <= BROADCAST_BYTES:
         table = F.broadcast(table)
-    u = uniform(seed, F.col("doc_id"))
+    own = _identity(docs)
+    u = uniform(seed, own)
     drawn = (docs.join(table, F.col("source").eqNullSafe(F.col(source)))
              .withColumn(n_copies, F.size(F.filter(cdf, lambda c: c <= u)))
              .drop(source, cdf).where(F.col(n_copies) > 0))
     copies = drawn.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n_copies))))
     keyed = copies.withColumn(key, F.md5(F.concat_ws(
-        ":", F.lit(seed + "-order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-        F.col(copy).cast("string"))))
+        ":", F.lit(seed + "-order"), own, F.col(copy).cast("string"))))
     return (keyed.repartition(key).sortWithinPartitions(key)
             .select(*docs.columns, copy, n_copies, key))

@@ -88,13 +88,13 @@ c AS (SELECT source, k, sum(CASE WHEN k = 0 THEN exp(-rate)
                                  WHEN rate > 0 THEN exp(k * ln(rate) - rate - lgamma(k + 1)) ELSE 0 END)
              OVER (PARTITION BY source ORDER BY k) AS cdf FROM p),
 u AS (SELECT *, row_number() OVER () AS rid,
-             ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::varchar, 'null')), 1, {HEX_DIGITS}))::bigint
+             ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::varchar, 'null:' || md5(coalesce(text, '')))), 1, {HEX_DIGITS}))::bigint
              / {float(16 ** HEX_DIGITS)!r}::double AS u FROM documents),
 n AS (SELECT rid, count(*)::int AS n_copies FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.source
       WHERE cdf <= u GROUP BY rid),
 x AS (SELECT u.* EXCLUDE (rid, u), n_copies, unnest(range(1, n_copies + 1))::int AS copy
       FROM u JOIN n USING (rid))
-SELECT *, md5('{SEED}-order:' || coalesce(doc_id::varchar, 'null') || ':' || copy) AS shuffle_key FROM x"""
+SELECT *, md5('{SEED}-order:' || coalesce(doc_id::varchar, 'null:' || md5(coalesce(text, ''))) || ':' || copy) AS shuffle_key FROM x"""
 
 
 ORACLES["op7_source_mixing"] = _mix_sql()

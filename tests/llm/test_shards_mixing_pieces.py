@@ -81,13 +81,22 @@ def test_mix_reaches_target_weights(spark):
 
 
 def test_mix_large_rate_and_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 0)
     rows = [(k, "t", "en", "rare" if k < 2 else "rest", 1) for k in range(3000)]
     out = mixing.mix(spark.createDataFrame(rows, awkward(spark).schema), {"rare": 1.0, "rest": 0.0})
     n = out.count()  # two documents at a rate of 1500 each
     assert 2600 < n < 3400 and out.where("source = 'rest'").count() == 0
 
 
+def test_mix_rows_without_id_draw_by_their_text(spark):
+    rows = [(None, f"text {k}", "en", "a" if k < 100 else "b", 1) for k in range(1000)]
+    df = spark.createDataFrame(rows + rows[:2], awkward(spark).schema)
+    out = mixing.mix(df, {"a": 1.0, "b": 1.0}).where("source = 'b'").collect()
+    texts = Counter(r.text for r in out)
+    assert 340 < len(texts) < 430 and 430 < sum(texts.values()) < 570  # a rate of 0.56 for 900 texts
+    assert len({r.shuffle_key for r in out}) == len(out)
+
+
 def test_mix_awkward_rows(spark):
     out = mixing.mix(clashing(spark))
     assert out.columns[:-3] == clashing(spark).columns
