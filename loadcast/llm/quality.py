@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.text import SPACE_CHARS, SPACE_CLASS, fold, let, words
+from loadcast.llm.text import SPACE_CHARS, SPACE_CLASS, fold, fresh, let, words
 
 # The symbol characters, and frequent function words of the four
 # languages of the corpus.
@@ -125,16 +125,17 @@ def verdict(rules=RULES) -> Column:
 def judge(docs: DataFrame, rules=RULES) -> DataFrame:
     """``docs`` with the base metrics, the ratios, ``base_failed`` and ``kept``."""
     m = metrics(F.col("text"))
-    out = docs.withColumns({"_w": m["words"], "_l": m["lines"], "word_chars": m["word_chars"],
+    of_words, of_lines = fresh(docs.columns, "_w"), fresh(docs.columns, "_l")
+    out = docs.withColumns({of_words: m["words"], of_lines: m["lines"], "word_chars": m["word_chars"],
                             "n_symbols": m["n_symbols"]})
     out = out.withColumns({
-        "n_words": F.col("_w")["n_words"].cast("long"),
-        "n_repeat_words": F.col("_w")["n_repeat_words"].cast("long"),
-        "n_dup_lines": F.col("_l")["n_dup_lines"].cast("long"),
-        "n_stop_words": F.col("_w")["n_stop_words"].cast("long"),
-        "n_stutters": F.col("_w")["n_stutters"].cast("long"),
-        "n_text_lines": F.col("_l")["n_lines"].cast("long"),
-    }).drop("_w", "_l")
+        "n_words": F.col(of_words)["n_words"].cast("long"),
+        "n_repeat_words": F.col(of_words)["n_repeat_words"].cast("long"),
+        "n_dup_lines": F.col(of_lines)["n_dup_lines"].cast("long"),
+        "n_stop_words": F.col(of_words)["n_stop_words"].cast("long"),
+        "n_stutters": F.col(of_words)["n_stutters"].cast("long"),
+        "n_text_lines": F.col(of_lines)["n_lines"].cast("long"),
+    }).drop(of_words, of_lines)
     per = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     out = out.withColumns({
         "symbol_ratio": per("n_symbols", "n_words"),

@@ -40,6 +40,13 @@ def test_quality_accept_keeps_columns_and_base_failures_go(spark):
     assert quality.accept(empty(spark)).count() == 0
 
 
+def test_judge_keeps_columns_of_its_helpers_names(spark):
+    df = awkward(spark).selectExpr("*", "doc_id as _w", "'own' as _l", "2 as __w")
+    out = quality.judge(df)
+    assert out.columns[:len(df.columns)] == df.columns
+    assert all((r._w, r._l, r["__w"]) == (r.doc_id, "own", 2) for r in out.collect())
+
+
 def test_quality_is_native(spark):
     plan = quality.judge(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
