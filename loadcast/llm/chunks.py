@@ -30,6 +30,7 @@ comes last in the order of holders. Where no hash meets the mask, text is cut at
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -207,7 +208,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([(n, pa.int64() if n[:2] == "hi" else pa.int32())
                                for n, _ in (f.split() for f in _RUN.split(", "))]))
     for batch in batches:
-        out, duplicates = [], []
+        out = []
         for marks in batch.column("marks"):
             runs: list[dict] = []
             dup = sorted((m["at"], m["stop"], m["hi"], m["lo"]) for m in marks.as_py() if not m["first"])
@@ -217,9 +218,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     runs.append(dict(start=at, stop=stop, hi1=hi, lo1=lo, hi2=hi, lo2=lo))
             out.append(runs)
-            duplicates.append(len(dup))
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("row"), pa.array(out, kind),
-                                          pa.array(duplicates, pa.int32())], ["doc", "row", "runs", "dup"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("row"), pa.array(out, kind)], ["doc", "row", "runs"])
 
 
 _AROUND = "hi long, lo int, left binary, right binary"
@@ -325,17 +324,18 @@ def _spans(data: bytes, pieces) -> list[tuple[int, int]]:
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
-        for text, runs, dup, grown in zip(*(batch.column(c) for c in ("_bytes", "runs", "dup", "grown"))):
+        for text, runs, grown in zip(*(batch.column(c) for c in ("_bytes", "runs", "grown"))):
             data = text.as_py()
-            n = len(cut_points(data or b""))
+            borders = [0, *cut_points(data or b"")]
             spans = _spans(data, [*[(r["start"], r["stop"]) for r in runs.as_py() or []],
                                   *[(g["a"], g["b"]) for g in grown.as_py() or []]])
-            left, at = [], 0
+            left, at, n_removed = [], 0, 0
             for a, b in spans:
                 left.append(data[at:a])
                 at = b
+                n_removed += max(0, bisect_right(borders, b) - 1 - bisect_left(borders, a))
             kept = None if data is None else b"".join([*left, data[at:]]).decode()
-            for x, v in zip(out, (n, dup.as_py() or 0, sum(b - a for a, b in spans),
+            for x, v in zip(out, (len(borders) - 1, n_removed, sum(b - a for a, b in spans),
                                   [{"start": a, "end": b} for a, b in spans], kept)):
                 x.append(v)
         yield pa.RecordBatch.from_arrays(
@@ -343,13 +343,13 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
              pa.array(out[3], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
              pa.array(out[4], pa.string())],
-            ["_doc", "_n", "_dup", "_gone", "_spans", "_left"])
+            ["_doc", "_n", "_n_removed", "_gone", "_spans", "_left"])
 
 
 def dedup(docs: DataFrame, to_ends: bool = False) -> DataFrame:
     """``docs`` without the repeated passages in ``text``, plus ``n_chunks``,
-    ``n_dup_chunks``, ``removed_bytes`` and ``removed`` (byte spans of the text as
-    it was), under free names. ``to_ends``: whole passages, not only whole chunks."""
+    ``n_removed_chunks`` (those wholly in removed spans), ``removed_bytes`` and
+    ``removed`` (byte spans of the text as it was), under free names. ``to_ends``: whole passages, not only whole chunks."""
     r1, _ = digest("doc_id", "text")
     as_bytes = F.encode(F.col("text"), "UTF-8")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), r1.alias("_r1"), as_bytes.alias("text"))
@@ -359,19 +359,19 @@ def dedup(docs: DataFrame, to_ends: bool = False) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("doc"), r1.alias("row"))
     if to_ends:
         found = cut(found)
-    runs = found.mapInArrow(_runs, f"doc long, row long, runs array<struct<{_RUN.replace(' ', ':').replace(',:', ',')}>>, dup int")
+    runs = found.mapInArrow(_runs, f"doc long, row long, runs array<struct<{_RUN.replace(' ', ':').replace(',:', ',')}>>")
     if to_ends:
         marks = runs.join(_asked(found, runs), ["doc", "row"], "left")
-        met = whole.join(marks, ["doc", "row"], "left").select("_doc", "_bytes", "doc", "row", "runs", "dup", "asked")
+        met = whole.join(marks, ["doc", "row"], "left").select("_doc", "_bytes", "doc", "row", "runs", "asked")
         met = met.join(_grown(met), ["doc", "row"], "left")
     else:
         met = whole.join(runs, ["doc", "row"], "left").withColumn(
             "grown", F.lit(None).cast("array<struct<a:int,b:int>>"))
-    met = met.select("_doc", "_bytes", "runs", "dup", "grown")
-    out = met.mapInArrow(_without, f"_doc {met.schema['_doc'].dataType.simpleString()}, _n long, _dup long, "
+    met = met.select("_doc", "_bytes", "runs", "grown")
+    out = met.mapInArrow(_without, f"_doc {met.schema['_doc'].dataType.simpleString()}, _n long, _n_removed long, "
                                    "_gone long, _spans array<struct<start:int,end:int>>, _left string")
-    names = {n: fresh(docs.columns, n) for n in ("n_chunks", "n_dup_chunks", "removed_bytes", "removed")}
+    names = {n: fresh(docs.columns, n) for n in ("n_chunks", "n_removed_chunks", "removed_bytes", "removed")}
     return out.select(
         *[F.col("_left").alias("text") if c == "text" else F.col("_doc")[c].alias(c) for c in docs.columns],
-        F.col("_n").alias(names["n_chunks"]), F.col("_dup").alias(names["n_dup_chunks"]),
+        F.col("_n").alias(names["n_chunks"]), F.col("_n_removed").alias(names["n_removed_chunks"]),
         F.col("_gone").alias(names["removed_bytes"]), F.col("_spans").alias(names["removed"]))

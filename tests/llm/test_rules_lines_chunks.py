@@ -135,6 +135,10 @@ def test_substring_dedup_matches_one_ordered_pass(spark, partitions):
         original = next(t for i, t, *_ in rows if i == r.doc_id)
         assert r.text == (want[r.doc_id, original] if original else original)
         assert r.removed_bytes == len((original or "").encode()) - len((r.text or "").encode())
+        ends = chunks.cut_points((original or "").encode())
+        assert r.n_chunks == len(ends)
+        assert r.n_removed_chunks == sum(any(s.start <= a and b <= s.end for s in r.removed) for a, b in zip([0, *ends], ends))
+        assert (r.n_removed_chunks > 0) == (r.removed_bytes > 0)
 
 
 def test_substring_dedup_catches_passages_and_leaves_others(spark):
