@@ -20,10 +20,11 @@ Training takes every training document once. Documents are dealt by a hash of th
 row to as many lanes as hold ``LANE_WORDS`` words each; a lane goes through its
 documents in the order of that hash, one Adam step a batch, the first ``RAMP`` steps
 of ``FIRST`` windows, then twice as many after each ``RAMP`` steps, up to ``BATCH``.
-A first round over one eighth of the documents gives the common start of the second
-over the others; after a round the lanes' weights are averaged by their ids, in
+A first round over one eighth of the documents, in lanes as long, gives the common
+start of the second over the others; after a round the lanes' weights are averaged by their ids, in
 whole numbers, so that scores do not depend on partitions or file layout. Ids are
-made once and landed; their counts, both rounds and the scoring read them.
+made once and landed, together with the counts of the words they are made of; the
+counts of ids, both rounds and the scoring read them.
 
 The base score is a unigram model of words. Words holding at least 1 / ``HEAD`` of
 all training tokens (so at most ``HEAD`` of them) are looked up in a broadcast
@@ -38,8 +39,10 @@ Extra columns are not read.
 
 from __future__ import annotations
 
+import ctypes
+import itertools
 import math
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,15 +67,19 @@ STEP = 64
 FIRST = 64
 BATCH = 1024
 RAMP = 64
-#: Windows that go through the layer together.
-BLOCK = 128
+#: Windows that go through the attention together, and ids through the output.
+BLOCK = 64
+PART = 2048
+#: Largest logit whose exp, summed and squared, stays in single precision.
+SAFE = 40.0
 RATE = 0.04
 SEED = 20
 #: Words of a lane of training, and of a bucket of rare words.
 LANE_WORDS = 4_000_000
 BUCKET_WORDS = 4_000_000
-#: Distinct words a task counts, and characters of words it remembers.
+#: Distinct words a task remembers, their characters, and words it takes at a time.
 HELD_WORDS = 500_000
+CHUNK_WORDS = 100_000
 REMEMBERED_CHARS = 4_000_000
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -91,21 +98,38 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
-class Lookup:
-    """A number for each word, from its hash, remembered within a bound."""
+class Numbered:
+    """Words numbered as they come, within a bound that ``full`` tells."""
 
-    def __init__(self, of_hash, kind):
-        self.of_hash, self.kind, self.known = of_hash, kind, {}
+    def __init__(self):
+        self.number: dict[bytes, int] = defaultdict(itertools.count().__next__)
+        self.chars = 0
 
-    def values_of(self, words: list[bytes]) -> np.ndarray:
-        try:
-            return np.fromiter(map(self.known.__getitem__, words), self.kind, len(words))
-        except KeyError:
-            if len(self.known) > HELD_WORDS:
-                self.known.clear()
-            new = list(set(words).difference(self.known))
-            self.known.update(zip(new, map(self.of_hash, word_hashes(new).tolist())))
-            return np.fromiter(map(self.known.__getitem__, words), self.kind, len(words))
+    def see(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+        """The number of each word, and the words that are new, in their order."""
+        before = len(self.number)
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        new = list(itertools.islice(reversed(self.number), len(self.number) - before))[::-1]
+        self.chars += sum(map(len, new))
+        return at, new
+
+    def full(self) -> bool:
+        return len(self.number) >= HELD_WORDS or self.chars > REMEMBERED_CHARS
+
+
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """The texts of a batch in runs: the first row, the words of all its rows, and
+    how many each row has. Some ``CHUNK_WORDS`` words; a text is never split."""
+    first, words, sizes = 0, [], []
+    for i, text in enumerate(batch.column("text")):
+        own = words_of(text.as_py())
+        words += own
+        sizes.append(len(own))
+        if len(words) >= CHUNK_WORDS:
+            yield first, words, np.array(sizes)
+            first, words, sizes = i + 1, [], []
+    if sizes:
+        yield first, words, np.array(sizes)
 
 
 def id_kind(size: int) -> np.dtype:
@@ -113,7 +137,7 @@ def id_kind(size: int) -> np.dtype:
 
 
 class Subwords:
-    """Ids of words, remembered per Python worker."""
+    """The tokenizer, loaded once in a Python worker."""
 
     _loaded: dict[str, Subwords] = {}
 
@@ -124,10 +148,7 @@ class Subwords:
         self.size, self.begin, self.end = self.model.get_piece_size(), self.model.bos_id(), self.model.eos_id()
         mark = "\u2581"
         self.begins = np.array([self.model.id_to_piece(i).startswith(mark) for i in range(self.size)])
-        # Ids as packed numbers, so a text's ids are one join of bytes.
         self.kind = id_kind(self.size)
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
 
     @classmethod
     def load(cls, path: str | None) -> Subwords:
@@ -139,22 +160,12 @@ class Subwords:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        return self.model.encode([w.decode() for w in words], num_threads=1)
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Ids of a text's words and its end."""
-        if self.held > REMEMBERED_CHARS:
-            self.known.clear()
-            self.held = 0
-        try:
-            packed = b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            new = list(set(words).difference(self.known))
-            self.held += sum(map(len, new))
-            self.known.update(zip(new, (np.array(x, self.kind).tobytes() for x in self.encode(new))))
-            packed = b"".join(map(self.known.__getitem__, words))
-        return np.append(np.frombuffer(packed, self.kind), self.kind.type(self.end))
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as packed numbers, so a text's ids are one join of bytes."""
+        ids = self.model.encode([w.decode() for w in words], num_threads=1)
+        flat = np.fromiter(itertools.chain.from_iterable(ids), self.kind).tobytes()
+        ends = list(itertools.accumulate((len(x) * self.kind.itemsize for x in ids), initial=0))
+        return [flat[lo:hi] for lo, hi in itertools.pairwise(ends)]
 
 
 # --- the attention model --------------------------------------------------------
@@ -232,7 +243,7 @@ def windows(texts: list[np.ndarray], lexicon: Lexicon) -> tuple[np.ndarray, np.n
     every = np.concatenate(texts) if texts else np.zeros(0, int)
     place = np.repeat(base + SPAN, sizes) + np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     ids[place] = every
-    syms = np.full(len(ids), PAD, np.int32)
+    syms = np.full(len(ids), PAD, np.intp)
     syms[place] = lexicon.cls[every]
     syms[base + SPAN - 1] = START
     owner = np.repeat(np.arange(len(texts)), counts)
@@ -247,13 +258,24 @@ class Tables:
     def __init__(self, p: dict):
         self.q, self.k = p["E"] @ p["Wq"] / np.sqrt(p["E"].dtype.type(WIDTH)), p["E"] @ p["Wk"]
         s = self.q @ self.k.T
-        s -= s.max(axis=1, keepdims=True)
-        self.pairs = np.exp(np.maximum(s, -60, out=s), out=s)
+        if _norm(self.q) * _norm(self.k) > SAFE:
+            s -= s.max(axis=1, keepdims=True)
+            np.maximum(s, -60, out=s)
+        self.pairs = np.exp(s, out=s)
         self.pairs[:, PAD] = 0  # the mask: nothing attends to padding
         self.pairs[PAD] = 1  # places past the end are not scored
         self.pairs = self.pairs.ravel()
         self.v, self.r = np.ascontiguousarray((p["E"] @ p["Wv"]).T), np.ascontiguousarray((p["E"] @ p["Wr"]).T)
         self.near = np.exp(p["bias"])
+        # Of each group: weights of the groups, then of its members; biases last.
+        groups = np.broadcast_to(np.vstack([p["G"], p["g0"]]), (GROUPS, WIDTH + 1, GROUPS))
+        self.heads = np.concatenate([groups, np.concatenate([p["M"], p["m0"][:, None]], axis=1)], axis=2)
+        # Inputs of the heads are within -1 and 1.
+        self.safe = float(np.abs(self.heads).sum(axis=1).max()) <= SAFE
+
+
+def _norm(x: np.ndarray) -> float:
+    return float(np.sqrt((x * x).sum(axis=1).max()))
 
 
 def _back(d: int) -> slice:
@@ -263,83 +285,87 @@ def _back(d: int) -> slice:
 
 def _attend(t: Tables, syms: np.ndarray) -> tuple:
     """Outputs, contexts (a row per channel), weights and their sums, values and
-    places in the table of pairs. Masked attention of whole windows."""
-    last = syms[:, _back(0)]
-    row = last * np.int32(SYMBOLS)
+    places in the table of pairs, and the symbols. Masked attention of whole windows,
+    which lie side by side: a step back in all of them is one step in memory."""
+    syms = np.ascontiguousarray(syms.T)
+    last = syms[_back(0)]
+    row = last * SYMBOLS
     v = t.v.take(syms, axis=1)
-    at = np.stack([row + syms[:, _back(d)] for d in range(SPAN)])
+    at = np.empty((SPAN, *last.shape), syms.dtype)
+    for d in range(SPAN):
+        np.add(row, syms[_back(d)], out=at[d])
     w = t.pairs.take(at)
     w *= t.near[:, None, None]
     total = w.sum(axis=0)
-    c = np.zeros((WIDTH, *last.shape), v.dtype)
+    c = np.multiply(v[:, _back(0)], w[0])
     room = np.empty_like(c)
-    for d in range(SPAN):
-        c += np.multiply(v[:, :, _back(d)], w[d], out=room)
+    for d in range(1, SPAN):
+        c += np.multiply(v[:, _back(d)], w[d], out=room)
     c /= total
     h = t.r.take(last, axis=1)
     h += c
-    return np.tanh(h, out=h), c, w, total, v, at
-
-
-def _targets(lexicon: Lexicon, want: np.ndarray) -> tuple:
-    """Places of real ids in the order of their group, groups, members, and the
-    groups that are there with where each begins and ends."""
-    real = np.flatnonzero(want >= 0)
-    cls = lexicon.cls[want[real]]
-    group = cls // MEMBERS
-    order = np.argsort(group.astype(np.int8), kind="stable")
-    real, cls, group = real[order], cls[order], group[order]
-    edges = np.searchsorted(group, np.arange(GROUPS + 1))
-    parts = [(g, slice(edges[g], edges[g + 1])) for g in range(GROUPS) if edges[g] < edges[g + 1]]
-    return real, group, cls % MEMBERS, parts
+    return np.tanh(h, out=h), c, w, total, v, at, syms
 
 
-def _bound(weights: np.ndarray, bias: np.ndarray) -> float:
-    """Of the logits, either sign: inputs are within -1 and 1."""
-    return float((np.abs(weights).sum(axis=-2) + np.abs(bias)).max())
+def _blocks(n: int) -> list[slice]:
+    return [slice(lo, min(lo + BLOCK, n)) for lo in range(0, n, BLOCK)]
 
 
-def _exp(x: np.ndarray, bound: float) -> np.ndarray:
-    """exp in place, each column scaled if it could overflow."""
-    if bound > 60:
-        x -= x.max(axis=0)
-    return np.exp(x, out=x)
+def _outputs(t: Tables, syms: np.ndarray) -> tuple[np.ndarray, list]:
+    """Outputs of all places, block by block, over a row of ones; and what each
+    block kept."""
+    h = np.ones((WIDTH + 1, len(syms) * STEP), t.v.dtype)
+    kept = []
+    for block in _blocks(len(syms)):
+        out, *rest = _attend(t, syms[block])
+        h[:WIDTH, block.start * STEP:block.stop * STEP] = out.reshape(WIDTH, -1)
+        kept.append(rest)
+    return h, kept
 
 
-def _log_share(x: np.ndarray, at: np.ndarray, bound: float) -> np.ndarray:
-    """Log softmax of each column of ``x`` at one place."""
-    if bound > 60:
-        x -= x.max(axis=0)
-    got = x[at, np.arange(x.shape[1])]
-    return got - np.log(np.exp(x, out=x).sum(axis=0))
+def _by_place(x: np.ndarray) -> np.ndarray:
+    """A value per window and place, in the order of ``_outputs``."""
+    return np.concatenate([x[block].T.ravel() for block in _blocks(len(x))])
 
 
-def _group_logits(p: dict, h: np.ndarray) -> np.ndarray:
-    x = p["G"].T @ h
-    x += p["g0"][:, None]
-    return x
+def _targets(lexicon: Lexicon, want: np.ndarray) -> tuple:
+    """Places of real ids in the order of their group, members, and the groups
+    that are there with where parts of each begin and end."""
+    real = np.flatnonzero(want >= 0)
+    cls = lexicon.cls[want[real]]
+    group = (cls // MEMBERS).astype(np.int8)
+    order = np.argsort(group, kind="stable")
+    edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
+    parts = [(g, slice(lo, min(lo + PART, edges[g + 1]))) for g in range(GROUPS) for lo in range(edges[g], edges[g + 1], PART)]
+    return real[order], cls[order] % MEMBERS, parts
 
 
-def _member_logits(p: dict, h: np.ndarray, parts: list) -> np.ndarray:
-    x = np.empty((MEMBERS, h.shape[1]), h.dtype)
-    for g, part in parts:
-        x[:, part] = p["M"][g].T @ h[:, part]
-        x[:, part] += p["m0"][g][:, None]
-    return x
+def _logits(t: Tables, g: int, x: np.ndarray) -> np.ndarray:
+    """Of the groups and of the members of ``g``, a column per place; each level
+    less its maximum where exp could overflow."""
+    z = t.heads[g].T @ x
+    if not t.safe:
+        z[:GROUPS] -= z[:GROUPS].max(axis=0)
+        z[GROUPS:] -= z[GROUPS:].max(axis=0)
+    return z
 
 
 def score_windows(p: dict, lexicon: Lexicon, syms: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log probability of the ids each window scores."""
     t, out = Tables(p), np.zeros(len(syms))
-    wide, deep = _bound(p["G"], p["g0"]), _bound(p["M"], p["m0"])
-    for lo in range(0, len(syms), BLOCK):
-        block = slice(lo, lo + BLOCK)
-        want = ids[block].ravel()
-        real, group, member, parts = _targets(lexicon, want)
-        h = _attend(t, syms[block])[0].reshape(WIDTH, -1).take(real, axis=1)
-        got = lexicon.share[want[real]] + _log_share(_group_logits(p, h), group, wide)
-        got += _log_share(_member_logits(p, h, parts), member, deep)
-        out[block] = np.bincount(real // STEP, got, len(out[block]))
+    for lo in range(0, len(syms), BATCH):
+        batch = slice(lo, lo + BATCH)
+        want = _by_place(ids[batch])
+        real, member, parts = _targets(lexicon, want)
+        owner = _by_place(np.broadcast_to(np.arange(len(out[batch]))[:, None], ids[batch].shape))
+        x = _outputs(t, syms[batch])[0].take(real, axis=1)
+        got = lexicon.share[want[real]]
+        for g, part in parts:
+            z = _logits(t, g, x[:, part])
+            own = z[g] + z[GROUPS + member[part], np.arange(z.shape[1])]
+            np.exp(z, out=z)
+            got[part] += own - np.log(z[:GROUPS].sum(axis=0) * z[GROUPS:].sum(axis=0))
+        out[batch] = np.bincount(owner[real], got, len(out[batch]))
     return out
 
 
@@ -352,48 +378,46 @@ def _class_sums(index: np.ndarray, grads: np.ndarray) -> np.ndarray:
 def gradient(p: dict, lexicon: Lexicon, syms: np.ndarray, ids: np.ndarray) -> dict[str, np.ndarray]:
     """Gradient of the mean negative log probability of the classes."""
     t, kind = Tables(p), p["E"].dtype
-    wide, deep = _bound(p["G"], p["g0"]), _bound(p["M"], p["m0"])
-    scale = kind.type(1 / max(1, int((ids >= 0).sum())))
-    g = {k: np.zeros_like(p[k]) for k in ("bias", "G", "g0", "M", "m0")}
-    dv, dr, places, slopes = np.zeros((SYMBOLS, WIDTH)), np.zeros((SYMBOLS, WIDTH)), [], []
-    for lo in range(0, len(syms), BLOCK):
-        block = slice(lo, lo + BLOCK)
-        h, c, w, total, v, at = _attend(t, syms[block])
-        real, group, member, parts = _targets(lexicon, ids[block].ravel())
-        x = h.reshape(WIDTH, -1).take(real, axis=1)
-        each = np.arange(len(real))
-        dz = _exp(_group_logits(p, x), wide)
-        dz /= dz.sum(axis=0)
-        dz[group, each] -= 1
-        dz *= scale
-        g["G"] += x @ dz.T
-        g["g0"] += dz.sum(axis=1)
-        dx = p["G"] @ dz
-        dm = _exp(_member_logits(p, x, parts), deep)
-        dm /= dm.sum(axis=0)
-        dm[member, each] -= 1
-        dm *= scale
-        for name, part in parts:
-            g["M"][name] += x[:, part] @ dm[:, part].T
-            g["m0"][name] += dm[:, part].sum(axis=1)
-            dx[:, part] += p["M"][name] @ dm[:, part]
-        dx *= 1 - x * x
-        dh = np.zeros((WIDTH, h.shape[1] * STEP), kind)
-        dh[:, real] = dx
-        dh = dh.reshape(h.shape)
+    h, kept = _outputs(t, syms)
+    real, member, parts = _targets(lexicon, _by_place(ids))
+    scale = kind.type(1 / max(1, len(real)))
+    x = h.take(real, axis=1)
+    dx = np.zeros((WIDTH, len(real) + 1), kind)  # the last column: places without an id
+    heads = np.zeros_like(t.heads)
+    for g, part in parts:
+        some = x[:, part]
+        z = _logits(t, g, some)
+        np.exp(z, out=z)
+        for level in (z[:GROUPS], z[GROUPS:]):
+            level *= scale / level.sum(axis=0)
+        z[g] -= scale
+        z[GROUPS + member[part], np.arange(z.shape[1])] -= scale
+        heads[g] += some @ z.T
+        dx[:, part] = t.heads[g, :WIDTH] @ z
+    x = x[:WIDTH]
+    dx[:, :-1] *= 1 - x * x
+    back = np.full(h.shape[1], len(real))
+    back[real] = np.arange(len(real))
+    dh = dx.take(back, axis=1)
+    g = {"G": heads[:, :WIDTH, :GROUPS].sum(axis=0), "g0": heads[:, WIDTH, :GROUPS].sum(axis=0),
+         "M": heads[:, :WIDTH, GROUPS:], "m0": heads[:, WIDTH, GROUPS:], "bias": np.zeros_like(p["bias"])}
+    dv, places, slopes, lasts = np.zeros((SYMBOLS, WIDTH)), [], [], []
+    for block, (c, w, total, v, at, sym) in zip(_blocks(len(syms)), kept):
+        own = dh[:, block.start * STEP:block.stop * STEP].reshape(c.shape)
         w /= total
-        mean = (dh * c).sum(axis=0)
-        dvs, room = np.zeros_like(v), np.empty_like(dh)
+        mean = np.einsum("ksn,ksn->sn", own, c)
+        dvs, room = np.zeros_like(v), np.empty_like(c)
         for d in range(SPAN):
-            ds = np.einsum("kns,kns->ns", dh, v[:, :, _back(d)])
-            dvs[:, :, _back(d)] += np.multiply(dh, w[d], out=room)
-            ds -= mean
-            w[d] *= ds
+            slope = np.einsum("ksn,ksn->sn", own, v[:, _back(d)])
+            dvs[:, _back(d)] += np.multiply(own, w[d], out=room)
+            slope -= mean
+            w[d] *= slope
         g["bias"] += w.sum(axis=(1, 2))
         places.append(at.ravel())
         slopes.append(w.ravel())
-        dv += _class_sums(syms[block], dvs)
-        dr += _class_sums(syms[block][:, _back(0)], dh)
+        lasts.append(sym[_back(0)].ravel())
+        dv += _class_sums(sym, dvs)
+    dr = _class_sums(np.concatenate(lasts), dh)
     ds = np.bincount(np.concatenate(places), np.concatenate(slopes), SYMBOLS * SYMBOLS).astype(kind).reshape(SYMBOLS, SYMBOLS)
     dv, dr = dv.astype(kind), dr.astype(kind)
     dq, dk = ds @ t.k / np.sqrt(kind.type(WIDTH)), ds.T @ t.q
@@ -402,19 +426,36 @@ def gradient(p: dict, lexicon: Lexicon, syms: np.ndarray, ids: np.ndarray) -> di
     return g
 
 
+def keep_memory() -> None:
+    """Freed blocks stay with the worker, 256 MB at most: batches of one size follow
+    each other, and fresh pages cost about as much as the sums done in them."""
+    try:
+        mallopt = ctypes.CDLL(None).mallopt
+    except (OSError, AttributeError):  # another C library
+        return
+    mallopt(-1, 256 << 20)  # M_TRIM_THRESHOLD
+    mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD, its largest value
+
+
 class Trainer:
     """Adam over batches of windows."""
 
     def __init__(self, p: dict[str, np.ndarray], lexicon: Lexicon):
         self.p, self.lexicon, self.steps, self.seen = {k: x.copy() for k, x in p.items()}, lexicon, 0, 0
+        self.rest: tuple = ()
         self.m = {k: np.zeros_like(x) for k, x in p.items()}
         self.v = {k: np.zeros_like(x) for k, x in p.items()}
 
-    def learn(self, texts: list[np.ndarray]) -> None:
+    def learn(self, texts: list[np.ndarray], last: bool = False) -> None:
+        """Steps over the windows of texts; those short of a step wait for more."""
         syms, ids, _ = windows(texts, self.lexicon)
+        if self.rest:
+            syms, ids = (np.concatenate(x) for x in zip(self.rest, (syms, ids)))
         at = 0
         while at < len(syms):
             n = min(BATCH, FIRST << min(self.steps // RAMP, 20))
+            if at + n > len(syms) and not last:
+                break
             g = gradient(self.p, self.lexicon, syms[at:at + n], ids[at:at + n])
             at += n
             self.steps += 1
@@ -423,29 +464,16 @@ class Trainer:
                 self.v[k] += 0.01 * (x * x - self.v[k])
                 up = self.m[k] / (1 - 0.9 ** self.steps) / (np.sqrt(self.v[k] / (1 - 0.99 ** self.steps)) + 1e-8)
                 self.p[k] -= np.float32(RATE) * up.astype(np.float32)
+        self.rest = syms[at:], ids[at:]
         self.seen += sum(map(len, texts))
 
 
 # --- counts ---------------------------------------------------------------------
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-    texts = 0
-
-    def send() -> pa.RecordBatch:
-        keys = np.concatenate([word_hashes(list(counts)), [END_WORD]])
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([*counts.values(), texts], pa.int64())], ["key", "n"])
-
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text in batch.column("text"):
-            counts.update(words_of(text.as_py()))
-            texts += 1
-            if len(counts) >= HELD_WORDS:
-                yield send()
-                counts.clear()
-                texts = 0
-    if texts:
-        yield send()
+        for keys, n in zip(batch.column("keys"), batch.column("n")):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_py(), "<i8")) for x in (keys, n)], ["key", "n"])
 
 
 def _count_ids(size: int, kind: str):
@@ -464,12 +492,13 @@ def _count_ids(size: int, kind: str):
 def _train(lexicon, start, kind: str):
     """A trainer per lane; rows come sorted by lane."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         trainer, now = None, None
         held: list[np.ndarray] = []
         n = 0
 
         def done() -> pa.RecordBatch:
-            trainer.learn(held)
+            trainer.learn(held, last=True)
             return pa.RecordBatch.from_arrays(
                 [pa.array([now], pa.int32()), pa.array([trainer.seen], pa.int64()),
                  pa.array([flat(trainer.p).tolist()], pa.list_(pa.float64()))], ["lane", "seen", "weights"])
@@ -497,10 +526,10 @@ def fit(training: DataFrame, lexicon: Lexicon, n_words: int) -> np.ndarray:
     sc = training.sparkSession.sparkContext
     lex, kind = sc.broadcast(lexicon), id_kind(len(lexicon.cls)).str
     weights = flat(initial(lexicon))
-    lanes = max(1, -(-n_words // LANE_WORDS))
     eighth = F.pmod(F.xxhash64(F.lit(SEED), "row"), F.lit(8))
-    lane = F.pmod(F.xxhash64(F.lit(SEED + 1), "row"), F.lit(lanes)).cast("int")
-    for part in (eighth == 0, eighth != 0):
+    for part, share in ((eighth == 0, 1), (eighth != 0, 7)):
+        lanes = max(1, -(-n_words * share // (8 * LANE_WORDS)))
+        lane = F.pmod(F.xxhash64(F.lit(SEED + 1), "row"), F.lit(lanes)).cast("int")
         dealt = (training.where(part).select(lane.alias("lane"), "row", "ids")
                  .repartitionById(lanes, "lane").sortWithinPartitions("lane", "row"))
         got = dealt.mapInArrow(_train(lex, sc.broadcast(weights), kind), "lane int, seen long, weights array<double>")
@@ -516,18 +545,48 @@ def fit(training: DataFrame, lexicon: Lexicon, n_words: int) -> np.ndarray:
 # --- scoring --------------------------------------------------------------------
 
 def _encode(path: str | None):
+    """The ids of every row; and rows that count the words of the training rows."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = Subwords.load(path)
+        end = np.array([sub.end], sub.kind).tobytes()
+        schema = None
+        words, pieces, seen, texts = Numbered(), [], [], 0
+
+        def counted() -> pa.RecordBatch:
+            n = np.bincount(np.concatenate(seen), minlength=len(words.number))
+            some = np.flatnonzero(n)
+            keys = np.append(word_hashes(list(words.number))[some], END_WORD)
+            row = {"keys": keys.astype("<i8").tobytes(), "n": np.append(n[some], texts).astype("<i8").tobytes()}
+            return pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in schema], schema=schema)
+
         for batch in batches:
-            ids = [sub.ids(words_of(text.as_py())).tobytes() for text in batch.column("text")]
-            names = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(ids, pa.binary())], [*names, "ids"])
+            kept = [i for i, c in enumerate(batch.schema.names) if c != "text"]
+            schema = pa.schema([*map(batch.schema.field, kept), ("ids", pa.binary()), ("keys", pa.binary()), ("n", pa.binary())])
+            learn = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+            for first, every, sizes in runs(batch):
+                at, new = words.see(every)
+                pieces += sub.packed(new)
+                own = list(map(pieces.__getitem__, at.tolist()))
+                stops = np.cumsum(sizes).tolist()
+                ids = [b"".join(own[lo:hi]) + end for lo, hi in itertools.pairwise([0, *stops])]
+                part = learn[first:first + len(sizes)]
+                seen.append(at[np.repeat(part, sizes)])
+                texts += int(part.sum())
+                none = pa.nulls(len(sizes), pa.binary())
+                rows = batch.slice(first, len(sizes))
+                yield pa.RecordBatch.from_arrays([*map(rows.column, kept), pa.array(ids, pa.binary()), none, none], schema=schema)
+                if words.full():
+                    yield counted()
+                    words, pieces, seen, texts = Numbered(), [], [], 0
+        if texts:
+            yield counted()
 
     return task
 
 
 def _score(lexicon, weights, kind: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         p, lex = shaped(weights.value), lexicon.value
         for batch in batches:
             scores = np.zeros(batch.num_rows)
@@ -563,38 +622,46 @@ def _rare(head, end: tuple[int, float], buckets: int):
         from pyspark import TaskContext
 
         flush, base = TaskContext.get().partitionId() << 24, head.value
-        held: list[np.ndarray] = []
+        words, keys, values = Numbered(), np.zeros(0, np.int64), np.zeros(0)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         docs: list[tuple] = []
-        scores = Lookup(lambda h: base.get(h, 0.0), np.float64)  # 0 for a word outside the head
-        hashes = Lookup(lambda h: h, np.int64)
-        n = 0
+        n, here = 0, 0
 
         def send() -> pa.RecordBatch:
-            key = np.concatenate(held)
-            idx = np.repeat(np.arange(len(held), dtype="<u4"), [len(x) for x in held])
+            idx, key = (np.concatenate(x) for x in zip(*held))
             bucket = (key.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             names, first = np.unique(bucket[order], return_index=True)
             out = [(b, flush, idx[order[lo:hi]].tobytes(), key[order[lo:hi]].astype("<i8").tobytes(), b"", b"")
                    for b, lo, hi in zip(names.tolist(), first, [*first[1:], len(key)])]
-            doc, row, tokens, known, sums = (np.array(x, k) for x, k in zip(zip(*docs), ("<i8", "<i8", "<i8", "<i8", "<f8")))
-            out.append((flush % buckets, flush, np.arange(len(held), dtype="<u4").tobytes(),
+            doc, row, tokens, known, sums = (np.concatenate(x).astype(k) for x, k in zip(zip(*docs), ("<i8", "<i8", "<i8", "<i8", "<f8")))
+            out.append((flush % buckets, flush, np.arange(here, dtype="<u4").tobytes(),
                         tokens.tobytes() + known.tobytes() + sums.tobytes(), doc.tobytes(), row.tobytes()))
             kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                               [x.split()[0] for x in _PACKED.split(", ")])
 
         for batch in batches:
-            for doc, row, text in zip(batch.column("doc").to_pylist(), batch.column("row").to_pylist(), batch.column("text")):
-                words = words_of(text.as_py())
-                values = scores.values_of(words)
-                other = np.flatnonzero(values == 0)
-                held.append(hashes.values_of([words[i] for i in other.tolist()]))
-                docs.append((doc, row, len(words) + 1, len(words) - len(other) + end[0], float(values.sum()) + end[1]))
-                n += len(other) + 1
+            doc, row = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
+            for first, every, sizes in runs(batch):
+                at, new = words.see(every)
+                hashes = word_hashes(new)
+                keys = np.append(keys, hashes)
+                # 0 for a word outside the head.
+                values = np.append(values, np.fromiter((base.get(h, 0.0) for h in hashes.tolist()), np.float64, len(new)))
+                value, owner = values[at], np.repeat(np.arange(len(sizes)), sizes)
+                other = np.flatnonzero(value == 0)
+                held.append(((owner[other] + here).astype("<u4"), keys[at[other]]))
+                mine = slice(first, first + len(sizes))
+                docs.append((doc[mine], row[mine], sizes + 1, sizes - np.bincount(owner[other], minlength=len(sizes)) + end[0],
+                             np.bincount(owner, value, len(sizes)) + end[1]))
+                n += len(other) + len(sizes)
+                here += len(sizes)
+                if words.full():
+                    words, keys, values = Numbered(), np.zeros(0, np.int64), np.zeros(0)
                 if n >= 1_000_000:
                     yield send()
-                    held, docs, n, flush = [], [], 0, flush + 1
+                    held, docs, n, here, flush = [], [], 0, 0, flush + 1
         if held:
             yield send()
 
@@ -655,14 +722,15 @@ def score_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     sub = Subwords.load(tokenizer)
     kind = id_kind(sub.size).str
     doc_kind = rows.schema["doc_id"].dataType.simpleString()
-    encoded = land(rows.select("doc_id", "row", "held_out", "text").mapInArrow(
-        _encode(tokenizer), f"doc_id {doc_kind}, row long, held_out boolean, ids binary"))
+    landed = land(rows.select("doc_id", "row", "held_out", "text").mapInArrow(
+        _encode(tokenizer), f"doc_id {doc_kind}, row long, held_out boolean, ids binary, keys binary, n binary"))
+    encoded = landed.where("keys is null").select("doc_id", "row", "held_out", "ids")
     training = encoded.where(~F.col("held_out")).select("row", "ids")
     ids = np.zeros(sub.size)
     for r in (training.select("ids").mapInArrow(_count_ids(sub.size, kind), "key long, n long")
               .groupBy("key").agg(F.sum("n").alias("n")).collect()):  # at most a row per id of the tokenizer
         ids[r.key] = r.n
-    words = cut(rows.where(~F.col("held_out")).select("text").mapInArrow(_count, "key long, n long")
+    words = cut(landed.where("keys is not null").select("keys", "n").mapInArrow(_unpack, "key long, n long")
                 .groupBy("key").agg(F.sum("n").alias("n")))
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = int(sums["n"] or 0), int(sums["v"])
