@@ -39,7 +39,6 @@ Extra columns are not read.
 
 from __future__ import annotations
 
-import ctypes
 import itertools
 import math
 from collections import defaultdict
@@ -426,17 +425,6 @@ def gradient(p: dict, lexicon: Lexicon, syms: np.ndarray, ids: np.ndarray) -> di
     return g
 
 
-def keep_memory() -> None:
-    """Freed blocks stay with the worker, 256 MB at most: batches of one size follow
-    each other, and fresh pages cost about as much as the sums done in them."""
-    try:
-        mallopt = ctypes.CDLL(None).mallopt
-    except (OSError, AttributeError):  # another C library
-        return
-    mallopt(-1, 256 << 20)  # M_TRIM_THRESHOLD
-    mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD, its largest value
-
-
 class Trainer:
     """Adam over batches of windows."""
 
@@ -492,7 +480,6 @@ def _count_ids(size: int, kind: str):
 def _train(lexicon, start, kind: str):
     """A trainer per lane; rows come sorted by lane."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_memory()
         trainer, now = None, None
         held: list[np.ndarray] = []
         n = 0
@@ -586,7 +573,6 @@ def _encode(path: str | None):
 
 def _score(lexicon, weights, kind: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_memory()
         p, lex = shaped(weights.value), lexicon.value
         for batch in batches:
             scores = np.zeros(batch.num_rows)
