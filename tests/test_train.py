@@ -6,14 +6,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadcast.operators.score import predict_hours, rmse_report, wide_result
+from loadcast.operators.clean import clean
 from loadcast.operators.train import (
+    BOOST_ROWS,
+    boost_partitions,
     estimator,
     fit_hours,
     load_models,
     model_path,
     save_models,
 )
-from loadcast.plans.pipeline import model_inputs, predict
+from loadcast.plans.pipeline import clean_table, model_inputs, predict
 from loadcast.schema import FEATURES, LABELS, RESULT_CONTEXT
 
 
@@ -160,3 +163,37 @@ def test_checkpoint_staging_gives_same_models(splits):
         assert np.allclose(cached[label].coefficients.toArray(),
                            frozen[label].coefficients.toArray(), rtol=1e-10, atol=1e-12)
         assert cached[label].intercept == pytest.approx(frozen[label].intercept, rel=1e-10)
+
+
+def test_input_of_the_flows_is_computed_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def rows(_):
+        runs.add(1)
+        for k in range(40):
+            hole = None if k % 9 == 0 else float(k)
+            yield (k % 3, k, f"2024-01-{k % 28 + 1:02d}", *[hole if c in LABELS else k + 1 for c in (*FEATURES, *LABELS)])
+
+    names = ["AREA_NO", "MP_ID", "STAT_CYCLE", *FEATURES, *LABELS]
+    keep = list(dict.fromkeys(names))
+    kind = {"STAT_CYCLE": "string", **{c: "double" for c in LABELS}}
+    at = [names.index(c) for c in keep]
+    schema = ", ".join(f"{c} {kind.get(c, 'bigint')}" for c in keep)
+    raw = spark.createDataFrame(spark.sparkContext.range(0, 1, 1, 1).mapPartitions(rows).map(lambda r: tuple(r[i] for i in at)), schema)
+    cleaned = clean_table(raw)
+    train, test = model_inputs(cleaned)
+    assert train.count() + test.count() == cleaned.count() == 40
+    fit_hours(train, "ridge", LABELS[:2], parallelism=2)
+    assert runs.value == 1  # means, fill, both sides and the fits
+    want = clean(raw, carry=("STAT_CYCLE",))
+    assert cleaned.schema == want.schema
+    assert cleaned.exceptAll(want).count() == want.exceptAll(cleaned).count() == 0
+
+
+def test_boosted_fits_take_partitions_by_rows(splits):
+    train, _ = splits
+    assert [boost_partitions(n, 200) for n in (0, 1, BOOST_ROWS, BOOST_ROWS + 1, 10 ** 9)] == [1, 1, 1, 2, 200]
+    asked = fit_hours(train, "gbt", ["LOAD4"], partitions=3, maxIter=2)["LOAD4"]
+    free = fit_hours(train, "gbt", ["LOAD4"], maxIter=2)["LOAD4"]
+    assert asked.fit_partitions == 3 and free.fit_partitions == 1  # of 8 shuffle partitions
+    assert fit_hours(train, "forest", ["LOAD4"], numTrees=2)["LOAD4"].fit_partitions == 8
