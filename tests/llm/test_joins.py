@@ -1,12 +1,15 @@
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from loadcast.llm import graph, jaccard, nearvec
+from loadcast.llm import graph, jaccard, nearvec, store
 
 from .fixtures import awkward, awkward_rows, clashing, empty, prose
 from .test_rules_lines_chunks import FOLD, WORD
@@ -183,3 +186,65 @@ def test_near_vectors_match_all_pairs(spark, monkeypatch, block):
     assert Counter((r.vec_id, r.n_links, r.component_id) for r in out) == brute_vectors(rows)
     assert all(r.kept == (r.vec_id == r.component_id) for r in out)
     assert nearvec.near_vectors(df.limit(0)).count() == 0
+
+
+def _batch_bytes(batches):
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["bytes"])
+
+
+def test_batches_for_python_tasks_are_bounded_by_bytes(spark):
+    """Long texts reach a worker a few MB at a time, also through nested jobs, and
+    the session's own setting is back afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("x"), 500_000).alias("text"))
+    seen = docs.mapInArrow(_batch_bytes, "bytes long")
+    with store.small_batches(spark):
+        found = [r.bytes for df in (store.cut(seen), store.land(seen)) for r in df.collect()]
+    assert sum(found) >= 2 * 60 * 500_000
+    assert max(found) <= store.BATCH_BYTES + 600_000  # the row that fills it may stand over
+    assert spark.conf.get(name) == before
+
+
+@pytest.mark.parametrize("own, used", [("1m", 1 << 20), ("256mb", store.BATCH_BYTES), ("300000", 300_000)])
+def test_batches_keep_a_smaller_setting(spark, own, used):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, own)
+    try:
+        with store.small_batches(spark):
+            assert int(spark.conf.get(name)) == used
+        assert spark.conf.get(name) == own
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_bucket_of_the_screen_takes_little_more_than_its_hashes():
+    """One bucket of 64 MB of text is some 10 M hashes: a task may hold a few times
+    their 4 bytes, not twenty times."""
+    rng = np.random.default_rng(5)
+    many, docs = 400_000, 1000
+    rows = []
+    for flush in range(3):
+        h = rng.integers(0, 1 << 22, many, dtype=np.uint32)
+        times = np.full(docs, many // docs, "<u4")
+        rows.append((0, flush, np.arange(docs, dtype="<u4").tobytes(), times.tobytes(), h.astype("<u4").tobytes(), b"", b""))
+    rows.append((0, 0, b"", np.full(docs, 400, "<u4").tobytes(), b"", np.arange(docs, dtype="<i8").tobytes(), np.arange(docs, dtype="<i8").tobytes()))
+    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
+    group = pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [x.split()[0] for x in jaccard._PACKED.split(", ")])
+    every = np.concatenate([np.frombuffer(r[4], "<u4") for r in rows[:3]])
+    names, times = np.unique(every, return_counts=True)
+    twice = np.isin(every, names[times > 1]).reshape(3, docs, many // docs).sum(axis=2)
+    tracemalloc.start()
+    try:
+        got = jaccard._mark_shared(group)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 7 * every.nbytes
+    found = {r["flush"]: r for r in got.to_pylist() if not r["doc"]}
+    for flush in range(3):
+        i, n = (np.frombuffer(found[flush][c], "<u4") for c in ("idx", "counts"))
+        assert dict(zip(i.tolist(), n.tolist())) == {k: int(x) for k, x in enumerate(twice[flush]) if x}
+    assert [r["row"] for r in got.to_pylist() if r["doc"]] == [rows[3][6]]
