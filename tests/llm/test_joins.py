@@ -1,5 +1,8 @@
 import math
+import pathlib
+import tempfile
 import tracemalloc
+import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -78,6 +81,66 @@ def test_large_groups_go_through_blocks(spark, monkeypatch):
     assert got == brute_join(rows)
 
 
+def shipped(monkeypatch, name):
+    """What goes through a function of the join that makes a group's task: rows in, rows out."""
+    made = getattr(jaccard, name)
+    folder = tempfile.mkdtemp(prefix="loadcast-test-")
+
+    def counted(percent):
+        task = made(percent)
+
+        def group(table):
+            out = task(table)
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(f"{table.num_rows} {out.num_rows}")
+            return out
+
+        return group
+
+    monkeypatch.setattr(jaccard, name, counted)
+    return lambda: [tuple(map(int, p.read_text().split())) for p in pathlib.Path(folder).iterdir()]
+
+
+@pytest.mark.parametrize("blocks", [10, 256])
+def test_only_sets_that_may_link_are_shipped_to_be_compared(spark, monkeypatch, blocks):
+    """Two texts' near copies with much in common, but too little for a link: told
+    apart by sketches, and blocks of one component never meet."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", blocks)
+    sketched = shipped(monkeypatch, "_able")
+    compared = [shipped(monkeypatch, name) for name in ("_settle", "_settle_set")]
+    w = prose(900, 200).split()
+    other = w[:150] + prose(901, 50).split()
+    texts = near_copies(" ".join(w), 40, 1, 5) + near_copies(" ".join(other), 40, 1, 6)
+    rows = [(k, t, "en", "s0", len(t)) for k, t in enumerate(texts)]
+    got = Counter((r.doc_id, r.n_shingles, r.component_id)
+                  for r in jaccard.join_documents(spark.createDataFrame(rows, awkward(spark).schema)).collect())
+    assert got == brute_join(rows)
+    assert len({c for *_, c in got}) == 2 and sketched()
+    assert not any(f() for f in compared)
+
+
+def test_sketches_lose_no_link():
+    rng = np.random.default_rng(11)
+    for _ in range(40):
+        base = rng.integers(0, 2**63, 80, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([rng.permutation(base)[:int(rng.integers(50, 81))],
+                                          rng.integers(0, 2**63, int(rng.integers(0, 9)), dtype=np.uint64)])) for _ in range(14)]
+        comp, left = rng.integers(0, 5, 14), int(rng.choice([6, 14]))
+        able = jaccard.may_link(comp, np.array([len(s) for s in sets]), [jaccard.sketch(s) for s in sets], left)
+        for a in range(left):
+            for b in range(14) if left == 14 else range(left, 14):
+                if comp[a] != comp[b] and jaccard.similar(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b])):
+                    assert able[a] and able[b]
+
+
+def test_most_rows_that_did_not_pass_are_left_out_before_the_shuffle(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("_r1"), F.lit(b"x").alias("text"))
+    passed = rows.where("doc_id % 10 = 3").select("doc_id", F.col("_r1").alias("row"))
+    got = {(r.doc_id, r._r1) for r in jaccard.likely(rows, passed).collect()}
+    assert got >= {(k, k % 7) for k in range(3, 20_000, 10)} and len(got) < 5_000
+    assert jaccard.likely(rows, passed.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("held,bytes_", [(400, 2_000), (2_000_000, 64 * 1024 * 1024)])
 def test_screen_counts_what_others_hold(spark, monkeypatch, held, bytes_):
     monkeypatch.setattr(jaccard, "HELD_SHINGLES", held)
