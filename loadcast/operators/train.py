@@ -20,7 +20,7 @@ from pyspark.ml.regression import (
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import (
     FEATURES,
@@ -44,6 +44,9 @@ FIT_PARALLELISM = 4
 # Rows of one partition of a boosted fit without a stated number of partitions.
 BOOST_ROWS = 200_000
 
+# Share of the executors' storage memory that the binned rows of forest fits may take.
+COPIES_SHARE = 0.5
+
 # Family → (estimator class, model class, default parameters, folder stem).
 FAMILIES = {
     "ridge": (LinearRegression, LinearRegressionModel,
@@ -77,6 +80,24 @@ def boost_partitions(rows: int, most: int) -> int:
     return max(1, min(most, -(-rows // BOOST_ROWS)))
 
 
+def storage_bytes(spark: SparkSession) -> int:
+    """Memory for cached blocks of all executors. The status lists the driver as well,
+    which caches nothing beside executors: the largest entry of several is left out."""
+    sc = spark.sparkContext
+    status = sc._jvm.scala.jdk.javaapi.CollectionConverters.asJava(sc._jsc.sc().getExecutorMemoryStatus())
+    most = sorted(entry._1() for entry in status.values())
+    return sum(most[:-1] if len(most) > 1 else most)
+
+
+def forest_fits(rows: int, features: int, trees: int, storage: int, most: int) -> int:
+    """Forest fits at once: as many as keep their binned rows within ``COPIES_SHARE`` of
+    ``storage`` bytes, at least one and at most ``most``. A fit caches an int per feature
+    and per tree and some 100 bytes of objects a row; what does not fit is written to
+    disk and read back in each pass, which costs more than fewer fits at once."""
+    copy = rows * (4 * (features + trees) + 100)
+    return max(1, min(most, int(storage * COPIES_SHARE) // max(1, copy)))
+
+
 def training_table(train: DataFrame, labels=LABELS, features=FEATURES,
                    stage: str | None = "checkpoint", partitions: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The inputs and the labels, staged once for all fits.
@@ -127,7 +148,8 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
     expressions by the scorer. The default fits MLlib ``LinearRegression``.
 
     ``parallelism`` fits run at once, whatever the size of the table; each tree
-    fit holds its own binned copy of the rows, so memory bounds it. ``partitions``
+    fit holds its own binned copy of the rows, so forest fits are fewer where these
+    copies would not fit into memory (``forest_fits``). ``partitions``
     see ``training_table``; boosted fits without it take a number that follows from
     the rows (``boost_partitions``). It is kept on each model as ``fit_partitions``
     and saved with the models. ``on_fit(label, model)`` is called as each fit ends, in
@@ -161,6 +183,10 @@ def fit_hours(train: DataFrame, family: str = "ridge", labels=LABELS, features=F
             return label, model
 
         workers = max(1, min(int(parallelism), len(labels)))
+        if family == "forest" and workers > 1:
+            width = max(len(features[lab]) for lab in labels) if isinstance(features, dict) else len(features)
+            workers = forest_fits(table.count(), width, params.get("numTrees", FOREST_NUM_TREES),
+                                  storage_bytes(table.sparkSession), workers)
         if workers == 1:
             fitted = dict(map(fit, labels))
         else:

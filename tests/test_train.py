@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loadcast.operators import train as training
 from loadcast.operators.score import predict_hours, rmse_report, wide_result
 from loadcast.operators.clean import clean
 from loadcast.operators.train import (
@@ -12,9 +13,11 @@ from loadcast.operators.train import (
     boost_partitions,
     estimator,
     fit_hours,
+    forest_fits,
     load_models,
     model_path,
     save_models,
+    storage_bytes,
 )
 from loadcast.plans.pipeline import clean_table, model_inputs, predict
 from loadcast.schema import FEATURES, LABELS, RESULT_CONTEXT
@@ -197,3 +200,31 @@ def test_boosted_fits_take_partitions_by_rows(splits):
     free = fit_hours(train, "gbt", ["LOAD4"], maxIter=2)["LOAD4"]
     assert asked.fit_partitions == 3 and free.fit_partitions == 1  # of 8 shuffle partitions
     assert fit_hours(train, "forest", ["LOAD4"], numTrees=2)["LOAD4"].fit_partitions == 8
+
+
+def test_forest_fits_at_once_follow_memory(spark, monkeypatch):
+    copy = 1_000_000 * (4 * (33 + 30) + 100)
+    assert forest_fits(1_000_000, 33, 30, 100 * copy, 8) == 8
+    assert forest_fits(1_000_000, 33, 30, 6 * copy, 8) == 3
+    assert forest_fits(1_000_000, 33, 30, copy, 8) == 1
+    assert forest_fits(0, 33, 30, 0, 8) == 1
+    assert storage_bytes(spark) > 100_000_000
+
+    # The same trees, whether the copies of all fits or of one fit into memory.
+    rows = spark.range(400).selectExpr("id as MP_ID", "current_date() as STAT_CYCLE", "cast(id % 7 as double) as x",
+                                       "cast(id % 5 as double) as LOAD0", "cast(id % 3 as double) as LOAD1", "cast(id as double) as LOAD2")
+    labels = ["LOAD0", "LOAD1", "LOAD2"]
+    pools, pool = [], training.ThreadPoolExecutor
+
+    def counted(max_workers):
+        pools.append(max_workers)
+        return pool(max_workers=max_workers)
+
+    monkeypatch.setattr(training, "ThreadPoolExecutor", counted)
+    trees = []
+    for storage in (10**9, 2 * 2 * 400 * (4 * (1 + 4) + 100), 1):
+        monkeypatch.setattr(training, "storage_bytes", lambda spark, storage=storage: storage)
+        models = fit_hours(rows, "forest", labels, ["x"], parallelism=3, numTrees=4)
+        trees.append([[t.toDebugString.split("\n", 1)[1] for t in models[c].trees] for c in labels])
+    assert pools == [3, 2]  # the third went one fit after the other, without a pool
+    assert trees[0] == trees[1] == trees[2]
