@@ -10,6 +10,7 @@ from loadcast.operators.score import predict_hours, rmse_report, wide_result
 from loadcast.operators.clean import clean
 from loadcast.operators.train import (
     BOOST_ROWS,
+    boost_fits,
     boost_partitions,
     estimator,
     fit_hours,
@@ -228,3 +229,28 @@ def test_forest_fits_at_once_follow_memory(spark, monkeypatch):
         trees.append([[t.toDebugString.split("\n", 1)[1] for t in models[c].trees] for c in labels])
     assert pools == [3, 2]  # the third went one fit after the other, without a pool
     assert trees[0] == trees[1] == trees[2]
+
+
+def test_boosted_fits_at_once_follow_memory(spark, monkeypatch):
+    copy = 1_000_000 * (4 * 33 + 230)
+    assert [boost_fits(1_000_000, 33, n * copy, 8) for n in (100, 6, 1)] == [8, 3, 1]
+    assert boost_fits(0, 33, 0, 8) == 1
+
+    # The same trees, whether the copies of all fits, of two or of one fit into memory.
+    rows = spark.range(400).selectExpr("id as MP_ID", "current_date() as STAT_CYCLE", "cast(id % 7 as double) as x",
+                                       "cast(id % 5 as double) as LOAD0", "cast(id % 3 as double) as LOAD1", "cast(id as double) as LOAD2")
+    labels = ["LOAD0", "LOAD1", "LOAD2"]
+    pools, pool = [], training.ThreadPoolExecutor
+
+    def counted(max_workers):
+        pools.append(max_workers)
+        return pool(max_workers=max_workers)
+
+    monkeypatch.setattr(training, "ThreadPoolExecutor", counted)
+    trees = []
+    for storage in (10**9, 2 * 2 * 400 * (4 * 1 + 230), 1):
+        monkeypatch.setattr(training, "storage_bytes", lambda spark, storage=storage: storage)
+        models = fit_hours(rows, "gbt", labels, ["x"], parallelism=3, maxIter=2)
+        trees.append([[t.toDebugString.split("\n", 1)[1] for t in models[c].trees] for c in labels])
+    assert pools == [3, 2]  # the third went one fit after the other, without a pool
+    assert trees[0] == trees[1] == trees[2]
