@@ -311,3 +311,27 @@ def test_a_bucket_of_the_screen_takes_little_more_than_its_hashes():
         i, n = (np.frombuffer(found[flush][c], "<u4") for c in ("idx", "counts"))
         assert dict(zip(i.tolist(), n.tolist())) == {k: int(x) for k, x in enumerate(twice[flush]) if x}
     assert [r["row"] for r in got.to_pylist() if r["doc"]] == [rows[3][6]]
+
+
+def test_shingles_take_few_passes_and_tell_texts_apart():
+    rng = np.random.default_rng(9)
+    for words in (1, 2, 5):
+        for n in (1, 2, 4, 5, 6, 300):
+            own = [b"W%d" % k for k in rng.integers(0, 12, n)]
+            text = b" \t".join(own) + b"\x0b\x0c\r\n"
+            got = jaccard.shingles(text, words)
+            low = [w.lower() for w in own]
+            want = {tuple(low[k:k + words]) for k in range(max(1, n - words + 1))}
+            assert len(got) == len(want) and (got[1:] > got[:-1]).all()
+            assert (got == jaccard.shingles(b" ".join(low), words)).all()
+    # Order, place and length tell shingles apart.
+    texts = [b"a b c d e", b"b a c d e", b"a c b d e", b"a b c e d", b"e d c b a", b"a b c d", b"a a a a a", b"a", b"a a"]
+    assert len({int(jaccard.shingles(t)[0]) for t in texts}) == len(texts)
+    assert jaccard.shingles(None).size == jaccard.shingles(b" \n").size == 0
+    passes, mix = [], jaccard._mix
+    try:
+        jaccard._mix = lambda x: passes.append(1) or mix(x)
+        jaccard.shingles(b"a b c d e f g")
+    finally:
+        jaccard._mix = mix
+    assert len(passes) == 1
