@@ -4,14 +4,15 @@ A merge-type (BPE) segmentation is the only one in which every two neighbouring
 pieces, taken alone as a text, merge back into just those two pieces. So a text
 is encoded from left to right: an Aho-Corasick automaton gives the longest piece
 at every position; a piece is taken when it is compatible with the one before
-(tested by re-merging their joined text, and remembered); otherwise the next
-shorter prefix piece is tried, and when none is left the position is marked as
+(tested by re-merging their joined text from the steps in which each is merged, and
+remembered); otherwise the next shorter prefix piece is tried, and when none is left the position is marked as
 failed in a bitfield and the piece before is taken back. A failed position is
 never entered again, so the work is linear in practice.
 
 A text is first cut into units that no piece can span: before a space mark that
 follows another character, and around line feeds, if the vocabulary allows it.
-Each distinct unit is encoded once while a task remembers it.
+Each distinct unit is encoded once while a task remembers it, as packed 32-bit ids;
+the ids of a document are these joined, and documents are decoded many at a time.
 
 Rows: null is the empty text. Texts are encoded whole, of any length.
 """
@@ -20,8 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
-from itertools import chain
+import struct
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,25 @@ MODEL = "piece_bpe_32k.model"
 #: Characters of units, and pairs, a task remembers; emptied when full.
 REMEMBERED_CHARS = 8_000_000
 REMEMBERED_PAIRS = 500_000
+#: Ids decoded at once.
+DECODED_IDS = 500_000
+_BEFORE_ALL = float("-inf")
+
+
+class _Remembered(dict):
+    """Packed ids by unit, made when first asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.held = make, 0
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self[unit] = self.make(unit)
+        self.held += len(unit)
+        return ids
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
 
 
 class PieceModel:
@@ -70,6 +90,8 @@ class PieceModel:
                 self.scores[piece] = sp.get_score(i)
                 self.surface.append(piece.replace(MARK, " ").encode())
         self.byte_set = set(self.byte_ids.values())
+        self._surfaces = pa.array(self.surface, pa.large_binary())
+        self._quiet = np.isin(np.arange(len(self.surface)), list(self.silent))
         self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
             self.automaton.add_word(piece, len(piece))
@@ -78,8 +100,8 @@ class PieceModel:
         self.shorter: dict[str, int] = {
             p: next((n for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), 0) for p in self.ids}
         self._pairs: dict[tuple[str | None, str], bool] = {}
-        self._units: dict[str, tuple[int, ...]] = {}
-        self._held = 0
+        self._steps: dict[str, list[tuple[float, str, str]] | None] = {}
+        self._units = _Remembered(lambda unit: (ids := self.encode_unit(unit)) and struct.pack(f"<{len(ids)}I", *ids) or b"")
         inner = [p for p in self.ids if MARK in p.lstrip(MARK)]
         feed = "" if any("\n" in p for p in self.ids) else "\n"
         self._cut = re.compile(
@@ -87,29 +109,61 @@ class PieceModel:
 
     # --- merging ----------------------------------------------------------
 
-    def merge(self, text: str) -> list[str]:
+    def merge(self, text: str, steps: list | None = None) -> list[str]:
         """Plain BPE: the best-scored neighbours merge first, the left ones of
-        equal score. Used on the short texts of one or two pieces."""
+        equal score. Used on the short texts of one piece. ``steps`` takes, before
+        each merge and at the end, its score, the first part and the last one."""
         parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
+        while True:
+            best, at = _BEFORE_ALL, -1
             for i in range(len(parts) - 1):
                 score = self.scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
+                if score is not None and (at < 0 or score > best):
                     best, at = score, i
-            if best is None:
-                break
+            if steps is not None:
+                steps.append((best, parts[0], parts[-1]))
+            if at < 0:
+                return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+
+    def steps(self, piece: str) -> list[tuple[float, str, str]] | None:
+        """The steps in which a piece is merged from its characters; None if they do
+        not give the piece."""
+        if piece not in self._steps:
+            steps: list[tuple[float, str, str]] = []
+            self._steps[piece] = steps if self.merge(piece, steps) == [piece] else None
+        return self._steps[piece]
 
     def compatible(self, left: str | None, right: str) -> bool:
-        """Whether the pieces come out again when their joined text is merged."""
+        """Whether the pieces come out again when their joined text is merged.
+
+        Until something merges over the border, each side takes the steps it takes
+        alone, the better-scored first and the left one of equal score; so these are
+        gone through, looking for a merge over the border that would come first."""
         if len(self._pairs) >= REMEMBERED_PAIRS:
             self._pairs.clear()
-        fits = self.merge((left or "") + right) == ([left, right] if left else [right])
-        self._pairs[left, right] = fits
+        fits = self._pairs[left, right] = self._fits(self.steps(left) if left else None, self.steps(right), bool(left))
         return fits
 
+    def _fits(self, ours: list | None, theirs: list | None, two: bool) -> bool:
+        if theirs is None or two and ours is None:
+            return False
+        if not two:
+            return True
+        scores, i, j = self.scores, 0, 0
+        while True:
+            ahead, _, last = ours[i]
+            behind, first, _ = theirs[j]
+            over = scores.get(last + first)
+            if over is not None and over > ahead and over >= behind:
+                return False
+            if ahead >= behind:
+                i += 1
+                if i == len(ours):
+                    return True
+            else:
+                j += 1
+
     # --- encoding ---------------------------------------------------------
 
     def _segment(self, text: str, longest: list[int], begin: int, end: int) -> list[str]:
@@ -157,26 +211,22 @@ class PieceModel:
                 at += 1
                 continue
             stop = longest.index(0, at)
-            out.extend(self.ids[p] for p in self._segment(word, longest, at, stop))
+            out.extend(map(self.ids.__getitem__, self._segment(word, longest, at, stop)))
             at = stop
         return tuple(out)
 
+    def packed(self, text: str | None, bos: bool = True, eos: bool = True) -> bytes:
+        """Ids of a whole text, 32 bits each; ``None`` is the empty text."""
+        if self._units.held > REMEMBERED_CHARS:
+            self._units.clear()
+        ids = b"".join(map(self._units.__getitem__, self._cut.findall(MARK + text.replace(" ", MARK)))) if text else b""
+        if bos:
+            ids = struct.pack("<I", self.bos) + ids
+        return ids + struct.pack("<I", self.eos) if eos else ids
+
     def encode(self, text: str | None, bos: bool = True, eos: bool = True) -> list[int]:
         """Ids of a whole text; ``None`` is the empty text."""
-        out = [self.bos] if bos else []
-        if text:
-            units = self._cut.findall(MARK + text.replace(" ", MARK))
-            if self._held > REMEMBERED_CHARS:
-                self._units.clear()
-                self._held = 0
-            known = self._units
-            for unit in set(units).difference(known):
-                known[unit] = self.encode_unit(unit)
-                self._held += len(unit)
-            out.extend(chain.from_iterable(map(known.__getitem__, units)))
-        if eos:
-            out.append(self.eos)
-        return out
+        return np.frombuffer(self.packed(text, bos, eos), "<u4").tolist()
 
     # --- decoding ---------------------------------------------------------
 
@@ -199,6 +249,38 @@ class PieceModel:
         spaced = bool(ids) and ids[0] not in self.byte_set and ids[0] != self.unk
         return text[1:] if spaced and text[:1] == " " else text
 
+    def decode_all(self, texts: list[bytes]) -> list[bytes]:
+        """What ``decode`` makes of the packed ids of each text, in UTF-8. The bytes of
+        all are joined in one pass; texts with control ids inside and invalid bytes go
+        through ``decode``."""
+        ids = np.frombuffer(b"".join(texts), "<u4")
+        ends = np.cumsum([0, *[len(t) >> 2 for t in texts]])
+        joined = self._surfaces.take(pa.array(ids))
+        at = np.frombuffer(joined.buffers()[1], "<i8", len(ids) + 1)[ends].tolist()
+        every = memoryview(joined.buffers()[2] or b"")
+        quiet = self._quiet[ids]
+        inside = quiet.copy()
+        inside[ends[:-1][ends[:-1] < ends[1:]]] = False
+        inside[ends[1:][ends[:-1] < ends[1:]] - 1] = False
+        odd = np.append(0, np.cumsum(inside))[ends]
+        out = []
+        for k, (lo, hi) in enumerate(zip(ends.tolist(), ends[1:].tolist())):
+            raw = bytes(every[at[k]:at[k + 1]])
+            plain = odd[k] == odd[k + 1]
+            if plain:
+                try:
+                    raw.decode()
+                except UnicodeDecodeError:
+                    plain = False
+            if not plain:
+                raw = self.decode(ids[lo:hi].tolist()).encode()
+            elif raw[:1] == b" ":
+                begin = lo + int(quiet[lo])
+                if begin < hi and int(ids[begin]) not in self.byte_set and int(ids[begin]) != self.unk:
+                    raw = raw[1:]
+            out.append(raw)
+        return out
+
     def _joined(self, ids: list[int]) -> str:
         joined = b"".join(map(self.surface.__getitem__, ids))
         try:
@@ -251,18 +333,31 @@ def encode_documents(docs: DataFrame, model: str | None = None, with_ids: bool =
         m = load(model or default_model())
         for batch in batches:
             counts, digests, decoded, lists = [], [], [], []
+            held: list[bytes] = []
+            n = 0
+
+            def digest() -> None:
+                decoded.extend(hashlib.sha256(raw).hexdigest() for raw in m.decode_all(held))
+                held.clear()
+
             for text in batch.column("text"):
-                ids = m.encode(text.as_py())
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(m.decode(ids).encode()).hexdigest())
+                ids = m.packed(text.as_py())
+                counts.append(len(ids) >> 2)
+                digests.append(hashlib.sha256(ids).hexdigest())
+                held.append(ids)
+                n += counts[-1]
+                if n >= DECODED_IDS:
+                    digest()
+                    n = 0
                 if with_ids:
                     lists.append(ids)
+            digest()
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()),
                        pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns.append(pa.array(lists, pa.list_(pa.int32())))
+                ends = pa.array(np.cumsum([0, *counts]), pa.int32())
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(lists), "<i4"))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loadcast.llm import chunks, lines, quality
 
@@ -52,6 +53,21 @@ def test_quality_is_native(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_quality_rules_work_out_the_metrics_once(spark):
+    kept = quality.accept(awkward(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count("array_distinct") == 2  # of windows and of lines
+    assert " INSET " in kept  # stop words are looked up, not compared one by one
+    assert kept.count("slice(") == 1  # the starts of the windows, not each window
+    # A metric's name may be that of a column, and words and windows may repeat.
+    rows = [(k, f"{k} the of and " + " ".join(f"text{j if k < 7 else j % 11}" for j in range(n)), 7)
+            for k, n in enumerate((0, 7, 8, 9, 30, 60, 200) * 2)]
+    named = spark.createDataFrame(rows, "doc_id long, text string, words int")
+    plain = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    want = sorted(r.doc_id for r in quality.judge(plain).where("kept").collect())
+    assert sorted(r.doc_id for r in quality.accept(named).collect()) == want and 0 < len(want) < len(rows)
+
+
+
 def brute_lines(rows, min_chars=40, min_docs=5):
     key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(FOLD)
     holders = defaultdict(set)

@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -163,3 +164,33 @@ def test_encode_documents(spark, library):
     assert pieces.encode_documents(empty(spark)).count() == 0
     some = pieces.encode_documents(awkward(spark), with_ids=True).where("doc_id = 5").first()
     assert library.decode(some.ids) == "one two"
+
+
+def test_pairs_of_pieces_fit_as_their_merged_text_says():
+    model, rng = pieces.PieceModel(pieces.default_model()), random.Random(5)
+    every, merged = list(model.ids), []
+    plain, model.merge = model.merge, lambda text, steps=None: merged.append(text) or plain(text, steps)
+    seen = 0
+    for _ in range(4000):
+        left, right, whole = (rng.choice(every) for _ in range(3))
+        cut = rng.randrange(1, max(2, len(whole)))
+        if whole[:cut] in model.ids and rng.random() < 0.7:
+            left, right = whole[:cut], whole[cut:] if whole[cut:] in model.ids else right
+        fits = plain(left + right) == [left, right]
+        assert model.compatible(left, right) == fits
+        seen += fits
+    assert 400 < seen < 3600
+    assert all(model.compatible(None, p) == (plain(p) == [p]) for p in every[:2000])
+    assert set(merged) <= set(every) and len(merged) == len(set(merged))  # pieces, once each; never pairs
+
+
+def test_many_texts_are_decoded_as_each_alone(library):
+    model, rng = pieces.load(pieces.default_model()), random.Random(8)
+    kinds = [model.bos, model.eos, model.unk, *sorted(model.byte_set), *rng.sample(list(model.ids.values()), 300)]
+    many = [[rng.choice(kinds) for _ in range(rng.randrange(7))] for _ in range(800)]
+    many += [model.encode(t) for t in ("", " a", "  b ", "é\n\U0001f600", "\x00 x")] + [[model.bos, *library.encode(" two  words")]]
+    got = model.decode_all([np.array(ids, "<u4").tobytes() for ids in many])
+    assert got == [model.decode(ids).encode() for ids in many]
+    assert model.decode_all([]) == []
+    text = "a word é\n and  more"
+    assert np.frombuffer(model.packed(text), "<u4").tolist() == model.encode(text) == [model.bos, *library.encode(text), model.eos]
